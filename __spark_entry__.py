@@ -19,8 +19,9 @@ from pyspark.sql import functions as F  # noqa: E402
 from tasteloom.operators import content, factors, realtime, statistics, tags, tuning  # noqa: E402
 from tasteloom.operators.ranking import newest_per_user, recent, top_per_key  # noqa: E402
 from tasteloom.operators.similarity import SimilarityIndex, dense_index  # noqa: E402
+from tasteloom.plans.jobs import read_index  # noqa: E402
 from tasteloom.plans.session import checkpoint_folder  # noqa: E402
-from tasteloom.schemas import RATING  # noqa: E402
+from tasteloom.schemas import CONTENT_RECS, RATING  # noqa: E402
 from tasteloom.sources import text, warehouse  # noqa: E402
 from tasteloom.sources.streams import file_lines  # noqa: E402
 from tasteloom.sources.tables import (  # noqa: E402
@@ -28,6 +29,7 @@ from tasteloom.sources.tables import (  # noqa: E402
     latest_of,
     one_per_key,
     read_table,
+    settled,
     write_table,
 )
 from tasteloom.streaming import logs, recommend  # noqa: E402
@@ -157,8 +159,11 @@ def content_idf(spark: SparkSession, folder: str) -> DataFrame:
     return content.idf(warehouse.items(spark, folder)).select("term", "df", _rounded("idf"))
 
 
-def _content_index(spark: SparkSession, folder: str) -> SimilarityIndex:
-    return content.similar(warehouse.items(spark, folder), digits=DIGITS)
+def _content_index(
+    spark: SparkSession, folder: str, store: Store | None = None
+) -> SimilarityIndex:
+    items = warehouse.items(spark, folder)
+    return content.similar(items, digits=DIGITS, store=store or _run_store(spark))
 
 
 def content_classes(spark: SparkSession, folder: str) -> DataFrame:
@@ -183,7 +188,10 @@ def content_hashed_features(spark: SparkSession, folder: str) -> DataFrame:
 
 def content_hashed_top20(spark: SparkSession, folder: str) -> DataFrame:
     items = warehouse.items(spark, folder)
-    return content.similar(items, variant=content.HASHED, digits=DIGITS).top(20)
+    index = content.similar(
+        items, variant=content.HASHED, digits=DIGITS, store=_run_store(spark)
+    )
+    return index.top(20)
 
 
 # --- vectors and factors ----------------------------------------------------------
@@ -196,12 +204,16 @@ def _vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def vector_similar(spark: SparkSession, folder: str) -> DataFrame:
-    index = dense_index(_vectors(spark, folder), VECTOR_THRESHOLD, DIGITS)
+    index = dense_index(
+        _vectors(spark, folder), VECTOR_THRESHOLD, DIGITS, store=_run_store(spark)
+    )
     return index.neighbours().withColumnRenamed("mid", "vec_id")
 
 
 def vector_similar_top10(spark: SparkSession, folder: str) -> DataFrame:
-    index = dense_index(_vectors(spark, folder), VECTOR_THRESHOLD, DIGITS, keep=11)
+    index = dense_index(
+        _vectors(spark, folder), VECTOR_THRESHOLD, DIGITS, keep=11, store=_run_store(spark)
+    )
     return (
         index.top(10)
         .withColumnRenamed("mid", "vec_id")
@@ -236,7 +248,8 @@ def als_predictions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def als_item_similar_top20(spark: SparkSession, folder: str) -> DataFrame:
-    return factors.item_recs(_small_model(spark, folder), keep=21).top(20)
+    model = _small_model(spark, folder)
+    return factors.item_recs(model, keep=21, store=_run_store(spark)).top(20)
 
 
 def als_grid(spark: SparkSession, folder: str) -> DataFrame:
@@ -312,36 +325,45 @@ def _recent_of_batch(spark: SparkSession, folder: str, events: DataFrame) -> Dat
     return recent(realtime.of_users(warehouse.ratings(spark, folder), events))
 
 
+def _batch(spark: SparkSession, folder: str) -> DataFrame:
+    """The last event of each user, written once: the scoring reads it many times."""
+    return settled(last_events(spark, folder), _run_store(spark), "batch")
+
+
 def event_candidates(spark: SparkSession, folder: str) -> DataFrame:
     return realtime.candidates(
-        last_events(spark, folder), _content_index(spark, folder), _rated(spark, folder)
+        _batch(spark, folder), _content_index(spark, folder), _rated(spark, folder)
     )
 
 
 def pair_similarity(spark: SparkSession, folder: str) -> DataFrame:
     """Similarity of each user's last event item to the user's recent items."""
-    events = last_events(spark, folder).select("uid", "mid")
+    events = _batch(spark, folder).select("uid", "mid")
     recents = _recent_of_batch(spark, folder, events)
     pairs = events.join(recents.select("uid", F.col("mid").alias("recent_mid")), "uid")
     return realtime.pair_similarity(pairs, _content_index(spark, folder), "mid", "recent_mid")
 
 
 def realtime_scores(spark: SparkSession, folder: str) -> DataFrame:
-    events, index = last_events(spark, folder), _content_index(spark, folder)
+    events, index = _batch(spark, folder), _content_index(spark, folder)
     found = realtime.candidates(events, index, _rated(spark, folder))
     scored = realtime.score(found, _recent_of_batch(spark, folder, events), index)
     return _final_scores(scored)
 
 
 def _final_scores(scored: DataFrame) -> DataFrame:
-    """Round, then rank by the rounded score, so that the last bit decides no order."""
-    rows = scored.select("uid", "mid", _rounded("score"))
+    """Round, then rank by the rounded score, so that the last bit decides no order.
+
+    Scores are means of six-digit numbers and often end on a 5 in the seventh place.
+    Rounding to nine places first takes the summation noise off those.
+    """
+    rows = scored.select("uid", "mid", F.round(F.round("score", 9), DIGITS).alias("score"))
     return top_per_key(rows, "uid", None).select("uid", "rank", "mid", "score")
 
 
 def realtime_list_sizes(spark: SparkSession, folder: str) -> DataFrame:
     """Users of a batch and the length of their list, empty lists included."""
-    events = last_events(spark, folder)
+    events = _batch(spark, folder)
     recs = realtime.recommend(
         events,
         _content_index(spark, folder),
@@ -382,8 +404,9 @@ def stream_realtime(spark: SparkSession, folder: str) -> DataFrame:
     """The scoring stream over all rating messages, read back as the latest lists."""
     store = _run_store(spark)
     messages = _message_folder(warehouse.rating_messages(spark, folder), store)
+    _content_index(spark, folder, store)
     inputs = recommend.Inputs(
-        index=lambda s: _content_index(s, folder),
+        index=lambda s: read_index(s, store, CONTENT_RECS),
         rated=lambda s: _rated(s, folder),
         recent=lambda s: recent(warehouse.ratings(s, folder)),
     )

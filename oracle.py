@@ -77,10 +77,11 @@ CTES = {
         WINDOW w AS (PARTITION BY e.uid ORDER BY p.score DESC, p.sim_mid)
         QUALIFY row_number() OVER w <= 20""",
     "scored": """
-        SELECT c.uid, c.mid, round(
+        SELECT c.uid, c.mid, CAST(round(CAST(
                    avg(p.score * r.score)
                    + log10(greatest(count(*) FILTER (r.score > 3), 1))
-                   - log10(greatest(count(*) FILTER (r.score <= 3), 1)), 6) AS score
+                   - log10(greatest(count(*) FILTER (r.score <= 3), 1))
+               AS DECIMAL(18, 9)), 6) AS DOUBLE) AS score
         FROM cand c JOIN recents r ON r.uid = c.uid
         JOIN pairs p ON p.mid = c.mid AND p.sim_mid = r.mid
         WHERE p.score > 0.7

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tasteloom.functions import l2_norm
 from tasteloom.operators.ranking import chunk_of, ranked
+from tasteloom.sources.tables import Store, settled
 
 
 @dataclass(frozen=True)
@@ -29,6 +30,13 @@ class SimilarityIndex:
     members: DataFrame  # mid, cls
     links: DataFrame  # cls, sim_cls, score; both directions
 
+    def settled(self, store: Store | None, name: str) -> SimilarityIndex:
+        """Write the two tables and go on from them, laid out for lookups."""
+        return SimilarityIndex(
+            settled(self.members, store, f"{name}Members", ["mid"]),
+            settled(self.links, store, f"{name}Links", ["cls", "sim_cls"]),
+        )
+
     def sizes(self) -> DataFrame:
         return self.members.groupBy("cls").agg(F.count("*").alias("n"))
 
@@ -219,15 +227,24 @@ def _prefix(threshold: float) -> Column:
     return F.transform(kept, lambda x: x["term"])
 
 
-def sparse_index(docs: DataFrame, threshold: float, digits: int | None = None) -> SimilarityIndex:
+def sparse_index(
+    docs: DataFrame,
+    threshold: float,
+    digits: int | None = None,
+    store: Store | None = None,
+    name: str = "Sparse",
+) -> SimilarityIndex:
     """Exact TF-IDF cosine above ``threshold`` over ``mid, terms`` rows.
 
-    ``digits`` rounds the scores, before they meet the threshold.
+    ``digits`` rounds the scores, before they meet the threshold. With a ``store`` the
+    steps that are read more than once, and the index itself, become tables in it.
     """
     if threshold < 0:
         raise ValueError("a negative threshold would also admit pairs without a common term")
-    classes = document_classes(docs)
-    vectors = _unit_vectors(classes).withColumn("prefix", _prefix(threshold))
+    classes = settled(document_classes(docs), store, f"{name}Classes")
+    vectors = settled(
+        _unit_vectors(classes).withColumn("prefix", _prefix(threshold)), store, f"{name}Vectors"
+    )
     left = vectors.select(F.col("cls").alias("a"), "vec", "prefix", F.explode("prefix").alias("term"))
     right = vectors.select(
         F.col("cls").alias("b"),
@@ -251,7 +268,7 @@ def sparse_index(docs: DataFrame, threshold: float, digits: int | None = None) -
     )
     members = docs.join(classes, "terms").select("mid", "cls")
     with_length = classes.join(vectors.select("cls"), "cls", "left_semi")
-    return SimilarityIndex(members, _both_ways(pairs, with_length))
+    return SimilarityIndex(members, _both_ways(pairs, with_length)).settled(store, name)
 
 
 # --- dense vectors ----------------------------------------------------------------
@@ -320,6 +337,8 @@ def dense_index(
     digits: int | None = None,
     keep: int | None = None,
     blocks: int | None = None,
+    store: Store | None = None,
+    name: str = "Dense",
 ) -> SimilarityIndex:
     """Exact cosine above ``threshold`` over ``mid, vec`` rows (``vec ARRAY<FLOAT>``).
 
@@ -334,6 +353,7 @@ def dense_index(
     classes = usable.groupBy("vec", "norm").agg(
         F.min("mid").alias("cls"), F.count("*").alias("n")
     )
+    classes = settled(classes, store, f"{name}Classes")
     if blocks is None:
         first = vectors.select(F.size("vec").alias("dim")).first()
         dim = first["dim"] if first else 1
@@ -369,4 +389,4 @@ def dense_index(
         "cls", F.col("cls").alias("sim_cls"), F.lit(1.0).alias("score")
     )
     members = usable.join(classes, ["vec", "norm"]).select("mid", "cls")
-    return SimilarityIndex(members, found.unionByName(copies))
+    return SimilarityIndex(members, found.unionByName(copies)).settled(store, name)

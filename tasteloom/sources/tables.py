@@ -76,6 +76,20 @@ def write_table(
     _save(laid_out(df, sort_keys) if sort_keys else df, store, name)
 
 
+def settled(
+    df: DataFrame, store: Store | None, name: str, sort_keys: Sequence[str] | None = None
+) -> DataFrame:
+    """Write a result that several later steps read, and go on from the table.
+
+    Cuts the lineage: the steps above run once, also when executors are lost later, and
+    the size of the table is known to the optimizer. Without a store nothing happens.
+    """
+    if store is None:
+        return df
+    write_table(df, store, name, sort_keys)
+    return read_table(df.sparkSession, store, name, df.schema)
+
+
 def one_per_key(df: DataFrame, key: str | Sequence[str], order_by: Sequence) -> DataFrame:
     """Keep the first row of every key; Spark cuts each key to one row before the shuffle."""
     keys = [key] if isinstance(key, str) else list(key)
