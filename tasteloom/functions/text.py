@@ -10,9 +10,13 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+# Every character up to U+0020.
+CONTROLS = "".join(chr(code) for code in range(0x21))
+
+
 def strip_controls(value: Column | str) -> Column:
-    """Trim every character up to U+0020 at both ends; SQL ``trim`` strips spaces only."""
-    return F.regexp_replace(_col(value), r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    """Trim every character up to U+0020 at both ends; plain ``trim`` strips spaces only."""
+    return F.btrim(_col(value), F.lit(CONTROLS))
 
 
 def delimited(value: Column | str, mark: str) -> Column:

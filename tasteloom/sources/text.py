@@ -22,7 +22,8 @@ def _field(parts: Column, position: int, field: T.StructField) -> Column:
     raw = F.get(parts, F.lit(position))
     if isinstance(field.dataType, T.StringType):
         return strip_controls(raw)
-    return strip_controls(raw).try_cast(field.dataType)
+    # Casting a text to a number skips blanks around it.
+    return raw.try_cast(field.dataType)
 
 
 def _typed(lines: DataFrame, mark: str, schema: T.StructType) -> DataFrame:
