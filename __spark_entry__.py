@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.ml.functions import vector_to_array  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
@@ -182,8 +183,11 @@ def content_similar_top20(spark: SparkSession, folder: str) -> DataFrame:
     return _content_index(spark, folder).top(20)
 
 
-def content_hashed_features(spark: SparkSession, folder: str) -> DataFrame:
-    return content.tfidf(warehouse.items(spark, folder), content.HASHED)
+def content_hashed_weights(spark: SparkSession, folder: str) -> DataFrame:
+    """The hashed feature vectors as rows of their non-zero weights."""
+    features = content.tfidf(warehouse.items(spark, folder), content.HASHED)
+    dense = features.select("mid", F.posexplode(vector_to_array("features")).alias("bucket", "w"))
+    return dense.filter("w <> 0").select("mid", "bucket", F.round("w", DIGITS).alias("weight"))
 
 
 def content_hashed_top20(spark: SparkSession, folder: str) -> DataFrame:
@@ -445,7 +449,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         content_similar,
         content_similar_counts,
         content_similar_top20,
-        content_hashed_features,
+        content_hashed_weights,
         content_hashed_top20,
         vector_similar,
         vector_similar_top10,

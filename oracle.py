@@ -9,7 +9,52 @@ CATALOGUE_GENRES = (
     "plate red ring rod widget"
 ).split()
 
+
+
+def murmur3(text: str, seed: int = 42) -> int:
+    """Signed 32-bit MurmurHash3, the public x86 variant."""
+    mask = 0xFFFFFFFF
+    data = text.encode()
+
+    def rotate(x: int, by: int) -> int:
+        return ((x << by) | (x >> (32 - by))) & mask
+
+    def scramble(word: int) -> int:
+        return rotate(word * 0xCC9E2D51 & mask, 15) * 0x1B873593 & mask
+
+    value = seed
+    whole = len(data) // 4 * 4
+    for at in range(0, whole, 4):
+        value ^= scramble(int.from_bytes(data[at : at + 4], "little"))
+        value = (rotate(value, 13) * 5 + 0xE6546B64) & mask
+    value ^= scramble(int.from_bytes(data[whole:], "little"))
+    value ^= len(data)
+    value = (value ^ value >> 16) * 0x85EBCA6B & mask
+    value = (value ^ value >> 13) * 0xC2B2AE35 & mask
+    value ^= value >> 16
+    return value - (1 << 32) if value >> 31 else value
+
+
+# Hash bucket of every word of the catalogue, out of 50.
+BUCKETS = {word.lower(): murmur3(word.lower()) % 50 for word in CATALOGUE_GENRES}
+
 CTES = {
+    "buckets": "SELECT * FROM (VALUES "
+    + ", ".join(f"('{word}', {bucket})" for word, bucket in BUCKETS.items())
+    + ") AS b(term, bucket)",
+    "htf": """
+        SELECT mid, bucket, sum(tf) AS tf FROM tf JOIN buckets USING (term)
+        GROUP BY mid, bucket""",
+    "hwt": """
+        SELECT mid, bucket, tf * ln(((SELECT count(*) FROM items) + 1.0)
+                   / (count(*) OVER (PARTITION BY bucket) + 1.0)) AS weight FROM htf""",
+    "hunit": """
+        SELECT mid, bucket, weight / sqrt(sum(weight * weight) OVER (PARTITION BY mid)) AS u
+        FROM hwt QUALIFY sum(weight * weight) OVER (PARTITION BY mid) > 0""",
+    "hpairs": """
+        SELECT a.mid AS mid, b.mid AS sim_mid, round(sum(a.u * b.u), 6) AS score
+        FROM hunit a JOIN hunit b ON a.bucket = b.bucket AND a.mid <> b.mid
+        GROUP BY a.mid, b.mid HAVING round(sum(a.u * b.u), 6) > 0.6""",
     "ratings": """
         SELECT CAST(o_custkey AS INTEGER) AS uid, CAST(l_partkey AS INTEGER) AS mid,
                ceil(l_quantity / 5) / 2 AS score,
@@ -89,6 +134,10 @@ CTES = {
 }
 
 NEEDS = {
+    "htf": ["tf", "buckets"],
+    "hwt": ["htf", "items"],
+    "hunit": ["hwt"],
+    "hpairs": ["hunit"],
     "messages": ["ev"],
     "last_event": ["ev"],
     "recents": ["ratings"],
@@ -120,7 +169,7 @@ def _with(names: str, body: str) -> str:
     for name in names.split():
         add(name)
     heads = [
-        f"{n} AS {'MATERIALIZED ' if n in ('pairs', 'unit', 'cand') else ''}({CTES[n]})"
+        f"{n} AS {'MATERIALIZED ' if n in ('pairs', 'unit', 'hpairs', 'hunit', 'cand') else ''}({CTES[n]})"
         for n in order
     ]
     return f"WITH {', '.join(heads)} {body}"
@@ -224,6 +273,15 @@ SQL = {
            WINDOW w AS (PARTITION BY mid ORDER BY score DESC, sim_mid)
            QUALIFY row_number() OVER w <= 20""",
     ),
+    "content_hashed_weights": _with(
+        "hwt", "SELECT mid, bucket, round(weight, 6) AS weight FROM hwt WHERE weight <> 0"
+    ),
+    "content_hashed_top20": _with(
+        "hpairs",
+        """SELECT mid, CAST(row_number() OVER w AS INTEGER) AS rank, sim_mid, score FROM hpairs
+           WINDOW w AS (PARTITION BY mid ORDER BY score DESC, sim_mid)
+           QUALIFY row_number() OVER w <= 20""",
+    ),
     "vector_similar": _with(
         "vpairs vclasses",
         """SELECT p.vec_id, c.cls AS sim_cls, max(p.score) AS score, count(*) AS n_similar

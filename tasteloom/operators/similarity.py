@@ -31,10 +31,14 @@ class SimilarityIndex:
     links: DataFrame  # cls, sim_cls, score; both directions
 
     def settled(self, store: Store | None, name: str) -> SimilarityIndex:
-        """Write the two tables and go on from them, laid out for lookups."""
+        """Write the two tables and go on from them.
+
+        They are not range-sorted: that would run the pair comparison twice, once for
+        the sample of the key range.
+        """
         return SimilarityIndex(
-            settled(self.members, store, f"{name}Members", ["mid"]),
-            settled(self.links, store, f"{name}Links", ["cls", "sim_cls"]),
+            settled(self.members, store, f"{name}Members"),
+            settled(self.links, store, f"{name}Links"),
         )
 
     def sizes(self) -> DataFrame:
@@ -191,10 +195,14 @@ def inverse_frequencies(classes: DataFrame) -> DataFrame:
 
 
 def _unit_vectors(classes: DataFrame) -> DataFrame:
-    """``cls, vec`` with unit weights, rarest term first; vectors without length drop out."""
+    """``cls, vec`` with unit weights, rarest term first.
+
+    Terms that all documents have weigh nothing and drop out, and so do vectors with no
+    other terms.
+    """
     weighted = (
         classes.select("cls", F.inline("terms"))
-        .join(inverse_frequencies(classes), "term")
+        .join(inverse_frequencies(classes).filter("idf > 0"), "term")
         .groupBy("cls")
         .agg(
             F.array_sort(
@@ -210,21 +218,43 @@ def _unit_vectors(classes: DataFrame) -> DataFrame:
     return weighted.select("cls", unit.alias("vec"))
 
 
-def _prefix(threshold: float) -> Column:
-    """The terms a vector has to share with another one to come near the threshold.
+SLACK = 1e-9
 
-    With terms in one global order, the part of a unit vector after its prefix has a
-    length of at most ``threshold``. Two vectors with no prefix term in common share
-    terms only in that part of one of them, so their cosine cannot exceed it.
-    """
-    bound = threshold * threshold * (1 - 1e-9)
 
-    def tail(i: Column) -> Column:
-        rest = F.slice(F.col("vec"), i + 1, F.size("vec"))
-        return F.aggregate(rest, F.lit(0.0), lambda total, x: total + x["w"] * x["w"])
+def _prefix_rows(vectors: DataFrame, least: float) -> DataFrame:
+    """One row per vector and term that it has to share for a cosine above ``least``.
 
-    kept = F.filter("vec", lambda x, i: tail(i) > bound)
-    return F.transform(kept, lambda x: x["term"])
+    With the terms in one global order, the part of a unit vector after its prefix is at
+    most ``least`` long. Two vectors with no prefix term in common share terms only
+    in that part of one of them, so their cosine cannot exceed it. Terms that very many
+    vectors have come last in the order and are light, so they are seldom in a prefix.
+
+    Columns: ``cls, term, w``; ``earlier`` (the terms before this one), ``later`` (terms
+    and weights after it), ``rest`` (the length of ``later``) and ``bits`` (one of 64
+    bits for each term of ``later``).
+    """
+
+    def bit(term: Column) -> Column:
+        place = F.pmod(F.xxhash64(term), F.lit(64)).cast("int")
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
+
+    def square_sum(entries: Column) -> Column:
+        return F.aggregate(entries, F.lit(0.0), lambda total, x: total + x["w"] * x["w"])
+
+    at = vectors.select("cls", "vec", F.posexplode("vec").alias("at", "x"))
+    later = F.slice(F.col("vec"), F.col("at") + 2, F.size("vec"))
+    rows = at.select(
+        "cls",
+        F.col("x.term").alias("term"),
+        F.col("x.w").alias("w"),
+        F.slice(F.col("vec.term"), F.lit(1), F.col("at")).alias("earlier"),
+        later.alias("later"),
+        F.sqrt(square_sum(later)).alias("rest"),
+        F.aggregate(
+            later, F.lit(0).cast("bigint"), lambda bits, x: bits.bitwiseOR(bit(x["term"]))
+        ).alias("bits"),
+    )
+    return rows.filter(F.hypot("w", "rest") > least)
 
 
 def sparse_index(
@@ -241,33 +271,42 @@ def sparse_index(
     """
     if threshold < 0:
         raise ValueError("a negative threshold would also admit pairs without a common term")
+    # Lower than any cosine that can still pass: bounds may be off in the last bits, and
+    # rounding may lift a score above the threshold.
+    least = threshold - SLACK - (0 if digits is None else 0.5 * 10**-digits)
     classes = settled(document_classes(docs), store, f"{name}Classes")
-    vectors = settled(
-        _unit_vectors(classes).withColumn("prefix", _prefix(threshold)), store, f"{name}Vectors"
-    )
-    left = vectors.select(F.col("cls").alias("a"), "vec", "prefix", F.explode("prefix").alias("term"))
-    right = vectors.select(
+    rows = settled(_prefix_rows(_unit_vectors(classes), least), store, f"{name}Prefixes")
+    left = rows.withColumnRenamed("cls", "a")
+    right = rows.select(
         F.col("cls").alias("b"),
-        F.map_from_entries("vec").alias("weights"),
-        F.col("prefix").alias("other_prefix"),
-        F.explode("prefix").alias("term"),
+        "term",
+        F.col("w").alias("other_w"),
+        F.col("earlier").alias("other_earlier"),
+        F.map_from_entries("later").alias("other_later"),
+        F.col("rest").alias("other_rest"),
+        F.col("bits").alias("other_bits"),
     )
-    # A pair that shares several prefix terms is taken at the first of them only.
-    first = F.get(F.array_intersect("prefix", "other_prefix"), F.lit(0)) == F.col("term")
+    # A pair that shares several prefix terms is taken at the first of them only, so all
+    # its other common terms come later in both. That bounds the cosine, before it is
+    # computed, by the lengths of the later parts; no common bit means no common term.
+    here = F.col("w") * F.col("other_w")
+    apart = F.col("bits").bitwiseAND(F.col("other_bits")) == 0
+    bound = here + F.when(apart, 0.0).otherwise(F.col("rest") * F.col("other_rest"))
+    first = ~F.arrays_overlap("earlier", "other_earlier")
     product = F.aggregate(
-        "vec",
-        F.lit(0.0),
+        "later",
+        here,
         lambda total, x: total
-        + x["w"] * F.coalesce(F.try_element_at("weights", x["term"]), F.lit(0.0)),
+        + x["w"] * F.coalesce(F.try_element_at("other_later", x["term"]), F.lit(0.0)),
     )
     pairs = (
         left.join(right, "term")
-        .filter((F.col("a") < F.col("b")) & first)
+        .filter((F.col("a") < F.col("b")) & (bound > least) & first)
         .select("a", "b", _rounded(product, digits).alias("score"))
         .filter(F.col("score") > threshold)
     )
     members = docs.join(classes, "terms").select("mid", "cls")
-    with_length = classes.join(vectors.select("cls"), "cls", "left_semi")
+    with_length = classes.join(rows.select("cls"), "cls", "left_semi")
     return SimilarityIndex(members, _both_ways(pairs, with_length)).settled(store, name)
 
 
