@@ -17,6 +17,7 @@ from pyspark.ml.functions import vector_to_array  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from tasteloom.functions import cosine  # noqa: E402
 from tasteloom.operators import content, factors, realtime, statistics, tags, tuning  # noqa: E402
 from tasteloom.operators.ranking import newest_per_user, recent, top_per_key  # noqa: E402
 from tasteloom.operators.similarity import SimilarityIndex, dense_index  # noqa: E402
@@ -225,6 +226,14 @@ def vector_similar_top10(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def vector_cosine(spark: SparkSession, folder: str) -> DataFrame:
+    """Cosine of every vector with the first vector of its label."""
+    vectors = warehouse.table(spark, folder, "embeddings")
+    first = vectors.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("first"))
+    score = F.round(cosine("embedding", "first"), DIGITS)
+    return vectors.join(first, "label").select("vec_id", score.alias("score"))
+
+
 def distinct_users(spark: SparkSession, folder: str) -> DataFrame:
     return factors.distinct_users(warehouse.ratings(spark, folder))
 
@@ -422,6 +431,22 @@ def stream_realtime(spark: SparkSession, folder: str) -> DataFrame:
     return _final_scores(lists.select("uid", F.inline("recs")))
 
 
+def stream_recent_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Recent ratings as a stream keeps them: the stored ones, then its own messages."""
+    store = _run_store(spark)
+    messages = _message_folder(warehouse.rating_messages(spark, folder), store)
+    ratings = warehouse.ratings(spark, folder)
+    query = recommend.keep_recent(
+        file_lines(spark, messages),
+        lambda s: recent(ratings),
+        store,
+        store.path("progress"),
+        availableNow=True,
+    )
+    query.awaitTermination()
+    return recommend.recent_now(spark, store)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The best rated items of every category."""
     return genres_top(spark, "/root/testdata/sf0.001")
@@ -453,6 +478,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         content_hashed_top20,
         vector_similar,
         vector_similar_top10,
+        vector_cosine,
         distinct_users,
         distinct_items,
         candidate_grid_count,
@@ -476,6 +502,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         latest_user_events,
         stream_log_ratings,
         stream_realtime,
+        stream_recent_state,
     ]
     named = {query.__name__: query for query in found}
     named["sql_rate_more_items"] = _statistic_by_sql("rate_more")

@@ -261,7 +261,9 @@ SQL = {
     "content_classes": _with("classes", "SELECT mid, cls FROM classes"),
     "content_similar": _with(
         "pairs classes",
-        """SELECT p.mid, c.cls AS sim_cls, max(p.score) AS score, count(*) AS n_similar
+        """SELECT p.mid, c.cls AS sim_cls, max(p.score) AS score, count(*) AS n_similar,
+                  CAST(row_number() OVER (
+                      PARTITION BY p.mid ORDER BY max(p.score) DESC, c.cls) AS INTEGER) AS rank
            FROM pairs p JOIN classes c ON c.mid = p.sim_mid GROUP BY p.mid, c.cls""",
     ),
     "content_similar_counts": _with(
@@ -284,11 +286,20 @@ SQL = {
     ),
     "vector_similar": _with(
         "vpairs vclasses",
-        """SELECT p.vec_id, c.cls AS sim_cls, max(p.score) AS score, count(*) AS n_similar
+        """SELECT p.vec_id, c.cls AS sim_cls, max(p.score) AS score, count(*) AS n_similar,
+                  CAST(row_number() OVER (
+                      PARTITION BY p.vec_id ORDER BY max(p.score) DESC, c.cls) AS INTEGER) AS rank
            FROM vpairs p JOIN vclasses c ON c.vec_id = p.sim_vec_id
            GROUP BY p.vec_id, c.cls""",
     ),
     "vector_similar_top10": VECTOR_TOP,
+    "vector_cosine": """
+        SELECT e.vec_id, round(list_cosine_similarity(
+                   CAST(e.embedding AS DOUBLE[]), CAST(f.embedding AS DOUBLE[])), 6) AS score
+        FROM embeddings e
+        JOIN (SELECT label, min(vec_id) AS vec_id FROM embeddings GROUP BY label) m
+            ON m.label = e.label
+        JOIN embeddings f ON f.vec_id = m.vec_id""",
     "distinct_users": _with("ratings", "SELECT DISTINCT uid FROM ratings"),
     "distinct_items": _with("ratings", "SELECT DISTINCT mid FROM ratings"),
     "candidate_grid_count": _with(
@@ -327,6 +338,14 @@ SQL = {
     ),
     "realtime_scores": REALTIME,
     "stream_realtime": REALTIME,
+    "stream_recent_state": _with(
+        "ratings ev",
+        """SELECT uid, CAST(row_number() OVER w - 1 AS INTEGER) AS pos, mid, score, timestamp
+           FROM (SELECT uid, mid, score, timestamp FROM ratings
+                 UNION ALL SELECT uid, mid, score, timestamp FROM ev)
+           WINDOW w AS (PARTITION BY uid ORDER BY timestamp DESC, mid, score DESC)
+           QUALIFY row_number() OVER w <= 20""",
+    ),
     "realtime_list_sizes": _with(
         "last_event scored",
         """SELECT e.uid, CAST(count(s.mid) AS INTEGER) AS n

@@ -3,7 +3,7 @@
 from tasteloom.functions.dates import epoch_seconds, register_change_date, yearmonth
 from tasteloom.functions.numeric import liked_adjustment, log_base
 from tasteloom.functions.text import delimited, genre_text, strip_controls, whitespace_tokens
-from tasteloom.functions.vectors import cosine, dot, l2_norm
+from tasteloom.functions.vectors import cosine, dot, l2_norm, score_in
 
 __all__ = [
     "cosine",
@@ -15,6 +15,7 @@ __all__ = [
     "liked_adjustment",
     "log_base",
     "register_change_date",
+    "score_in",
     "strip_controls",
     "whitespace_tokens",
     "yearmonth",

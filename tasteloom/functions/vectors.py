@@ -26,3 +26,8 @@ def l2_norm(vector: Column | str) -> Column:
 def cosine(left: Column | str, right: Column | str) -> Column:
     """Cosine of two vectors; null where either has no length (never NaN)."""
     return F.try_divide(dot(left, right), l2_norm(left) * l2_norm(right))
+
+
+def score_in(scores: Column | str, key: Column | str, default: float = 0.0) -> Column:
+    """Entry of a ``MAP<id, score>``, ``default`` where the map or the entry is missing."""
+    return F.coalesce(F.try_element_at(_col(scores), _col(key)), F.lit(default))

@@ -21,14 +21,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasteloom.functions import l2_norm
-from tasteloom.operators.ranking import chunk_of, ranked
+from tasteloom.operators.ranking import chunk_of, ranked, top_per_key
 from tasteloom.sources.tables import Store, settled
 
 
 @dataclass(frozen=True)
 class SimilarityIndex:
     members: DataFrame  # mid, cls
-    links: DataFrame  # cls, sim_cls, score; both directions
+    links: DataFrame  # cls, sim_cls, score, n (items in sim_cls); both directions
 
     def settled(self, store: Store | None, name: str) -> SimilarityIndex:
         """Write the two tables and go on from them.
@@ -41,28 +41,24 @@ class SimilarityIndex:
             settled(self.links, store, f"{name}Links"),
         )
 
-    def sizes(self) -> DataFrame:
-        return self.members.groupBy("cls").agg(F.count("*").alias("n"))
-
-    def _sized_links(self) -> DataFrame:
-        sizes = self.sizes().withColumnRenamed("cls", "sim_cls")
-        others = F.col("n") - (F.col("cls") == F.col("sim_cls")).cast("int")
-        return self.links.join(sizes, "sim_cls").select(
-            "cls", "sim_cls", "score", others.alias("n_similar")
-        )
+    def _others(self) -> Column:
+        """Items that a link leads to: an item is not similar to itself."""
+        return F.col("n") - (F.col("cls") == F.col("sim_cls")).cast("int")
 
     def neighbours(self) -> DataFrame:
-        """The uncapped answer: ``mid, sim_cls, score, n_similar``.
+        """The uncapped lists: ``mid, rank, sim_cls, score, n_similar``, best class first.
 
         One row per item and similar class; ``n_similar`` other items share the score.
+        Ranks are the same for all items of a class and are made once per class.
         """
-        return self.members.join(self._sized_links(), "cls").select(
-            "mid", "sim_cls", "score", "n_similar"
+        order = [F.desc("score"), F.asc("sim_cls")]
+        return self.members.join(ranked(self.links, "cls", order), "cls").select(
+            "mid", "rank", "sim_cls", "score", self._others().alias("n_similar")
         )
 
     def counts(self) -> DataFrame:
         """How many similar items each item has: ``mid, n_similar``."""
-        totals = self._sized_links().groupBy("cls").agg(F.sum("n_similar").alias("n_similar"))
+        totals = self.links.groupBy("cls").agg(F.sum(self._others()).alias("n_similar"))
         return self.members.join(totals, "cls").select("mid", "n_similar")
 
     def top(self, k: int) -> DataFrame:
@@ -105,6 +101,11 @@ class SimilarityIndex:
             .select("mid", "sim_mid", "score")
         )
 
+    def ordered_lists(self, mids: DataFrame) -> DataFrame:
+        """Full lists of the given items in order: ``mid, rank, sim_mid, score``."""
+        full = top_per_key(self.similar_to(mids), "mid", None, item="sim_mid")
+        return full.select("mid", "rank", "sim_mid", "score")
+
     def lookup(self, pairs: DataFrame, left: str, right: str) -> DataFrame:
         """The pairs that are in the index, with their ``score``, in this direction."""
         own = self.members.select(F.col("mid").alias(left), F.col("cls"))
@@ -113,7 +114,7 @@ class SimilarityIndex:
             pairs.filter(F.col(left) != F.col(right))
             .join(own, left)
             .join(other, right)
-            .join(self.links, ["cls", "sim_cls"])
+            .join(self.links.drop("n"), ["cls", "sim_cls"])
             .drop("cls", "sim_cls")
         )
 
@@ -126,7 +127,7 @@ def index_of_pairs(pairs: DataFrame) -> SimilarityIndex:
     """
     links = pairs.groupBy(
         F.col("mid").alias("cls"), F.col("sim_mid").alias("sim_cls")
-    ).agg(F.max("score").alias("score"))
+    ).agg(F.max("score").alias("score"), F.lit(1).cast("bigint").alias("n"))
     both = pairs.select(F.explode(F.array("mid", "sim_mid")).alias("mid")).distinct()
     return SimilarityIndex(both.select("mid", F.col("mid").alias("cls")), links)
 
@@ -146,20 +147,11 @@ def _rounded(score: Column, digits: int | None) -> Column:
     return score if digits is None else F.round(score, digits)
 
 
-def _both_ways(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Mirror ``a < b`` pairs and link every class of several items to itself."""
-    mirrored = pairs.select(
-        F.inline(
-            F.array(
-                F.struct(F.col("a").alias("cls"), F.col("b").alias("sim_cls"), "score"),
-                F.struct(F.col("b").alias("cls"), F.col("a").alias("sim_cls"), "score"),
-            )
-        )
-    )
-    copies = classes.filter("n > 1").select(
-        "cls", F.col("cls").alias("sim_cls"), F.lit(1.0).alias("score")
+def _own_links(classes: DataFrame, threshold: float) -> DataFrame:
+    """The link of every class of several items to itself."""
+    return classes.filter((F.col("n") > 1) & F.lit(1.0 > threshold)).select(
+        "cls", F.col("cls").alias("sim_cls"), F.lit(1.0).alias("score"), "n"
     )
-    return mirrored.unionByName(copies)
 
 
 # --- sparse vectors ---------------------------------------------------------------
@@ -195,15 +187,15 @@ def inverse_frequencies(classes: DataFrame) -> DataFrame:
 
 
 def _unit_vectors(classes: DataFrame) -> DataFrame:
-    """``cls, vec`` with unit weights, rarest term first.
+    """``cls, n, vec`` with unit weights, rarest term first.
 
     Terms that all documents have weigh nothing and drop out, and so do vectors with no
     other terms.
     """
     weighted = (
-        classes.select("cls", F.inline("terms"))
+        classes.select("cls", "n", F.inline("terms"))
         .join(inverse_frequencies(classes).filter("idf > 0"), "term")
-        .groupBy("cls")
+        .groupBy("cls", "n")
         .agg(
             F.array_sort(
                 F.collect_list(F.struct("df", "term", (F.col("tf") * F.col("idf")).alias("w")))
@@ -215,7 +207,7 @@ def _unit_vectors(classes: DataFrame) -> DataFrame:
     unit = F.transform(
         "raw", lambda x: F.struct(x["term"].alias("term"), (x["w"] / F.col("norm")).alias("w"))
     )
-    return weighted.select("cls", unit.alias("vec"))
+    return weighted.select("cls", "n", unit.alias("vec"))
 
 
 SLACK = 1e-9
@@ -229,7 +221,7 @@ def _prefix_rows(vectors: DataFrame, least: float) -> DataFrame:
     in that part of one of them, so their cosine cannot exceed it. Terms that very many
     vectors have come last in the order and are light, so they are seldom in a prefix.
 
-    Columns: ``cls, term, w``; ``earlier`` (the terms before this one), ``later`` (terms
+    Columns: ``cls, n, term, w``; ``earlier`` (the terms before this one), ``later`` (terms
     and weights after it), ``rest`` (the length of ``later``) and ``bits`` (one of 64
     bits for each term of ``later``).
     """
@@ -241,10 +233,11 @@ def _prefix_rows(vectors: DataFrame, least: float) -> DataFrame:
     def square_sum(entries: Column) -> Column:
         return F.aggregate(entries, F.lit(0.0), lambda total, x: total + x["w"] * x["w"])
 
-    at = vectors.select("cls", "vec", F.posexplode("vec").alias("at", "x"))
+    at = vectors.select("cls", "n", "vec", F.posexplode("vec").alias("at", "x"))
     later = F.slice(F.col("vec"), F.col("at") + 2, F.size("vec"))
     rows = at.select(
         "cls",
+        "n",
         F.col("x.term").alias("term"),
         F.col("x.w").alias("w"),
         F.slice(F.col("vec.term"), F.lit(1), F.col("at")).alias("earlier"),
@@ -279,6 +272,7 @@ def sparse_index(
     left = rows.withColumnRenamed("cls", "a")
     right = rows.select(
         F.col("cls").alias("b"),
+        F.col("n").alias("other_n"),
         "term",
         F.col("w").alias("other_w"),
         F.col("earlier").alias("other_earlier"),
@@ -302,18 +296,31 @@ def sparse_index(
     pairs = (
         left.join(right, "term")
         .filter((F.col("a") < F.col("b")) & (bound > least) & first)
-        .select("a", "b", _rounded(product, digits).alias("score"))
+        .select("a", "b", "n", "other_n", _rounded(product, digits).alias("score"))
         .filter(F.col("score") > threshold)
     )
+    both_ways = pairs.select(
+        F.inline(
+            F.array(
+                F.struct(
+                    F.col("a").alias("cls"), F.col("b").alias("sim_cls"), "score",
+                    F.col("other_n").alias("n"),
+                ),
+                F.struct(F.col("b").alias("cls"), F.col("a").alias("sim_cls"), "score", "n"),
+            )
+        )
+    )
+    # Every vector keeps its first term, so these are the classes that have a length.
+    own = _own_links(rows.filter(F.size("earlier") == 0).select("cls", "n"), threshold)
     members = docs.join(classes, "terms").select("mid", "cls")
-    with_length = classes.join(rows.select("cls"), "cls", "left_semi")
-    return SimilarityIndex(members, _both_ways(pairs, with_length)).settled(store, name)
+    return SimilarityIndex(members, both_ways.unionByName(own)).settled(store, name)
 
 
 # --- dense vectors ----------------------------------------------------------------
 
 TILE_BYTES = 16 << 20
 STRIP_ROWS = 256
+MAX_TILE_PARTITIONS = 20_000
 
 
 def block_count(rows: int, dim: int, parallelism: int) -> int:
@@ -324,17 +331,19 @@ def block_count(rows: int, dim: int, parallelism: int) -> int:
 
 
 def _tile_multiplier(threshold: float, digits: int | None, keep: int | None):
-    schema = pa.schema([("cls", pa.int64()), ("sim_cls", pa.int64()), ("score", pa.float64())])
+    schema = pa.schema(
+        [("cls", pa.int64()), ("sim_cls", pa.int64()), ("score", pa.float64()), ("n", pa.int64())]
+    )
 
-    def matrix(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        ids = rows.column("cls").to_numpy()
+    def matrix(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        ids, sizes = rows.column("cls").to_numpy(), rows.column("n").to_numpy()
         norms = rows.column("norm").to_numpy()
         flat = rows.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False)
         vectors = flat.reshape(len(ids), -1).astype(np.float64)
-        return ids, vectors / norms[:, None]
+        return ids, sizes, vectors / norms[:, None]
 
     def strips(left, right) -> Iterator[pa.RecordBatch]:
-        (ids, vectors), (other_ids, others) = left, right
+        (ids, _, vectors), (other_ids, other_sizes, others) = left, right
         for start in range(0, len(ids), STRIP_ROWS):
             scores = vectors[start : start + STRIP_ROWS] @ others.T
             if digits is not None:
@@ -349,7 +358,12 @@ def _tile_multiplier(threshold: float, digits: int | None, keep: int | None):
                 wanted &= scores >= floor[:, None]
             at, to = np.nonzero(wanted)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[start + at]), pa.array(other_ids[to]), pa.array(scores[at, to])],
+                [
+                    pa.array(ids[start + at]),
+                    pa.array(other_ids[to]),
+                    pa.array(scores[at, to]),
+                    pa.array(other_sizes[to]),
+                ],
                 schema=schema,
             )
 
@@ -399,6 +413,7 @@ def dense_index(
         blocks = block_count(vectors.count(), dim, spark.sparkContext.defaultParallelism)
     blocked = classes.select(
         F.col("cls").cast("bigint").alias("cls"),
+        "n",
         "vec",
         "norm",
         F.pmod(F.xxhash64("cls"), F.lit(blocks)).cast("int").alias("block"),
@@ -410,22 +425,23 @@ def dense_index(
             F.greatest(F.col("block"), other).alias("high"),
         ),
     )
+    # The shuffle width follows the number of products, not the session default.
+    partitions = min(blocks * (blocks + 1) // 2, MAX_TILE_PARTITIONS)
     id_type = vectors.schema["mid"].dataType
     found = (
-        blocked.select("cls", "vec", "norm", "block", F.inline(tiles))
+        blocked.select("cls", "n", "vec", "norm", "block", F.inline(tiles))
+        .repartition(partitions, "low", "high")
         .groupBy("low", "high")
         .applyInArrow(
             _tile_multiplier(threshold, digits, keep),
-            "cls bigint, sim_cls bigint, score double",
+            "cls bigint, sim_cls bigint, score double, n bigint",
         )
         .select(
             F.col("cls").cast(id_type).alias("cls"),
             F.col("sim_cls").cast(id_type).alias("sim_cls"),
             "score",
+            "n",
         )
     )
-    copies = classes.filter("n > 1").select(
-        "cls", F.col("cls").alias("sim_cls"), F.lit(1.0).alias("score")
-    )
     members = usable.join(classes, ["vec", "norm"]).select("mid", "cls")
-    return SimilarityIndex(members, found.unionByName(copies)).settled(store, name)
+    return SimilarityIndex(members, found.unionByName(_own_links(classes, threshold))).settled(store, name)

@@ -68,6 +68,7 @@ LINKS = T.StructType(
         T.StructField("cls", T.IntegerType(), True),
         T.StructField("sim_cls", T.IntegerType(), True),
         T.StructField("score", T.DoubleType(), True),
+        T.StructField("n", T.LongType(), True),
     ]
 )
 

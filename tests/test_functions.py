@@ -13,6 +13,7 @@ from tasteloom.functions import (
     liked_adjustment,
     log_base,
     register_change_date,
+    score_in,
     strip_controls,
     whitespace_tokens,
     yearmonth,
@@ -86,3 +87,10 @@ def test_vectors(spark):
     assert one(spark, l2_norm(a)) == 5
     assert one(spark, cosine(a, b)) == pytest.approx(0.96)
     assert one(spark, cosine(a, zero)) is None
+
+
+def test_score_in_a_map(spark):
+    scores = F.create_map(F.lit(1), F.lit(0.5))
+    assert one(spark, score_in(scores, F.lit(1))) == 0.5
+    assert one(spark, score_in(scores, F.lit(2))) == 0.0
+    assert one(spark, score_in(F.lit(None).cast("map<int,double>"), F.lit(2))) == 0.0
