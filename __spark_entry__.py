@@ -21,9 +21,9 @@ from tasteloom.functions import cosine  # noqa: E402
 from tasteloom.operators import content, factors, realtime, statistics, tags, tuning  # noqa: E402
 from tasteloom.operators.ranking import newest_per_user, recent, top_per_key  # noqa: E402
 from tasteloom.operators.similarity import SimilarityIndex, dense_index  # noqa: E402
-from tasteloom.plans.jobs import read_index  # noqa: E402
+from tasteloom.plans import jobs  # noqa: E402
 from tasteloom.plans.session import checkpoint_folder  # noqa: E402
-from tasteloom.schemas import CONTENT_RECS, RATING  # noqa: E402
+from tasteloom.schemas import CONTENT_RECS, RATING, RATING_TABLE, Params  # noqa: E402
 from tasteloom.sources import text, warehouse  # noqa: E402
 from tasteloom.sources.streams import file_lines  # noqa: E402
 from tasteloom.sources.tables import (  # noqa: E402
@@ -414,17 +414,23 @@ def stream_log_ratings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_realtime(spark: SparkSession, folder: str) -> DataFrame:
-    """The scoring stream over all rating messages, read back as the latest lists."""
+    """The scoring stream over all rating messages, read back as the latest lists.
+
+    The content similarity, the rated items and the recent ratings are stored first, as
+    the batch jobs do, and looked up by every batch.
+    """
     store = _run_store(spark)
     messages = _message_folder(warehouse.rating_messages(spark, folder), store)
+    write_table(warehouse.ratings(spark, folder), store, RATING_TABLE)
+    params = Params(key_buckets=8)
+    jobs.run_lookups(spark, store, params)
     _content_index(spark, folder, store)
-    inputs = recommend.Inputs(
-        index=lambda s: read_index(s, store, CONTENT_RECS),
-        rated=lambda s: _rated(s, folder),
-        recent=lambda s: recent(warehouse.ratings(s, folder)),
-    )
     query = recommend.start(
-        file_lines(spark, messages), inputs, store, store.path("progress"), availableNow=True
+        file_lines(spark, messages),
+        jobs.stream_inputs(store, CONTENT_RECS, params),
+        store,
+        store.path("progress"),
+        availableNow=True,
     )
     query.awaitTermination()
     lists = recommend.latest_recs(spark, store)
@@ -435,10 +441,9 @@ def stream_recent_state(spark: SparkSession, folder: str) -> DataFrame:
     """Recent ratings as a stream keeps them: the stored ones, then its own messages."""
     store = _run_store(spark)
     messages = _message_folder(warehouse.rating_messages(spark, folder), store)
-    ratings = warehouse.ratings(spark, folder)
     query = recommend.keep_recent(
         file_lines(spark, messages),
-        lambda s: recent(ratings),
+        recent(warehouse.ratings(spark, folder)),
         store,
         store.path("progress"),
         availableNow=True,

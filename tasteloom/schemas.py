@@ -59,6 +59,20 @@ USER_RECS = T.StructType(
     ]
 )
 
+# What the scoring of a user looks up.
+RATED = T.StructType(
+    [T.StructField("uid", T.IntegerType(), True), T.StructField("mid", T.IntegerType(), True)]
+)
+RECENT = T.StructType(
+    [
+        T.StructField("uid", T.IntegerType(), True),
+        T.StructField("pos", T.IntegerType(), True),
+        T.StructField("mid", T.IntegerType(), True),
+        T.StructField("score", T.DoubleType(), True),
+        T.StructField("timestamp", T.LongType(), True),
+    ]
+)
+
 # The two tables that together hold a similarity product (operators/similarity.py).
 MEMBERS = T.StructType(
     [T.StructField("mid", T.IntegerType(), True), T.StructField("cls", T.IntegerType(), True)]
@@ -137,6 +151,7 @@ class Params:
     source_topic: str = "log"
     rating_topic: str = "recommender"
     seed: int = 42
+    key_buckets: int = 256
 
 
 DEFAULTS = Params()

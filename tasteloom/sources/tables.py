@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,6 +114,47 @@ def write_keyed(
     _save(one_per_key(df, key, order_by), store, name, **extra)
 
 
+def key_bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def write_by_key(df: DataFrame, store: Store, name: str, key: str, buckets: int) -> None:
+    """Replace a table made for looking keys up: one folder per hash bucket of the key.
+
+    Rows are spread by bucket, key and row hash, so a bucket with a hot key is written by
+    several tasks.
+    """
+    bucketed = df.withColumn("bucket", key_bucket(key, buckets))
+    (
+        laid_out(bucketed, ["bucket", key])
+        .write.format(store.fmt)
+        .options(**store.options)
+        .partitionBy("bucket")
+        .mode("overwrite")
+        .save(store.path(name))
+    )
+
+
+def read_by_key(
+    spark: SparkSession,
+    store: Store,
+    name: str,
+    schema: T.StructType,
+    keys: DataFrame,
+    key: str,
+    buckets: int,
+) -> DataFrame:
+    """The rows of the given keys; only the folders of their buckets are read.
+
+    The bucket numbers, ``buckets`` of them at most, are all that the driver sees.
+    """
+    touched = keys.select(key_bucket(key, buckets).alias("bucket")).distinct()
+    wanted = [row["bucket"] for row in touched.collect()]
+    stored = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType(), True)])
+    rows = _reader(spark, store, name, stored).filter(F.col("bucket").isin(wanted))
+    return rows.select(*schema.fieldNames()).join(keys.select(key), key, "left_semi")
+
+
 def upsert_batch(df: DataFrame, store: Store, name: str, batch_id: int) -> None:
     """Write one micro-batch into its own partition of the table.
 
