@@ -345,7 +345,10 @@ def _batch(spark: SparkSession, folder: str) -> DataFrame:
 
 def event_candidates(spark: SparkSession, folder: str) -> DataFrame:
     return realtime.candidates(
-        _batch(spark, folder), _content_index(spark, folder), _rated(spark, folder)
+        _batch(spark, folder),
+        _content_index(spark, folder),
+        _rated(spark, folder),
+        store=_run_store(spark),
     )
 
 
@@ -359,7 +362,7 @@ def pair_similarity(spark: SparkSession, folder: str) -> DataFrame:
 
 def realtime_scores(spark: SparkSession, folder: str) -> DataFrame:
     events, index = _batch(spark, folder), _content_index(spark, folder)
-    found = realtime.candidates(events, index, _rated(spark, folder))
+    found = realtime.candidates(events, index, _rated(spark, folder), store=_run_store(spark))
     scored = realtime.score(found, _recent_of_batch(spark, folder, events), index)
     return _final_scores(scored)
 
@@ -382,6 +385,7 @@ def realtime_list_sizes(spark: SparkSession, folder: str) -> DataFrame:
         _content_index(spark, folder),
         _rated(spark, folder),
         _recent_of_batch(spark, folder, events),
+        store=_run_store(spark),
     )
     return recs.select("uid", F.size("recs").alias("n"))
 
@@ -422,7 +426,7 @@ def stream_realtime(spark: SparkSession, folder: str) -> DataFrame:
     store = _run_store(spark)
     messages = _message_folder(warehouse.rating_messages(spark, folder), store)
     write_table(warehouse.ratings(spark, folder), store, RATING_TABLE)
-    params = Params(key_buckets=8)
+    params = Params(key_buckets=64)
     jobs.run_lookups(spark, store, params)
     _content_index(spark, folder, store)
     query = recommend.start(

@@ -26,34 +26,37 @@ def _field(parts: Column, position: int, field: T.StructField) -> Column:
     return raw.try_cast(field.dataType)
 
 
-def _typed(lines: DataFrame, mark: str, schema: T.StructType) -> DataFrame:
-    parts = delimited("value", mark)
-    return lines.select(
-        "value", *[_field(parts, i, f).alias(f.name) for i, f in enumerate(schema.fields)]
+def _typed(mark: str, schema: T.StructType) -> Column:
+    """The line as an array of one typed row, so that it is cut and cast only once."""
+    return F.transform(
+        F.array(delimited("value", mark)),
+        lambda parts: F.struct(
+            *[_field(parts, i, f).alias(f.name) for i, f in enumerate(schema.fields)]
+        ),
     )
 
 
-def _is_bad(schema: T.StructType) -> Column:
+def _is_bad(row: Column, schema: T.StructType) -> Column:
     """A field is null exactly when it is missing or its cast failed."""
-    bad = F.lit(False)
+    bad = row.isNull()
     for field in schema.fields:
-        bad = bad | F.col(field.name).isNull()
+        bad = bad | row[field.name].isNull()
     return bad
 
 
 def parse(
     lines: DataFrame, mark: str, schema: T.StructType, mode: str = STRICT
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
-    typed = _typed(lines, mark, schema)
-    names = schema.fieldNames()
+    rows = _typed(mark, schema)
     if mode == STRICT:
-        # A filter, unlike a projected check, cannot be pruned away by the optimizer.
-        stop = F.raise_error(F.concat(F.lit("bad input line: "), F.coalesce("value", F.lit("null"))))
-        checked = F.when(_is_bad(schema), stop.cast("boolean")).otherwise(F.lit(True))
-        return typed.filter(checked).select(*names)
+        text = F.coalesce("value", F.lit("null"))
+        stop = F.raise_error(F.concat(F.lit("bad input line: "), text)).cast("boolean")
+        checked = F.filter(rows, lambda r: F.when(_is_bad(r, schema), stop).otherwise(F.lit(True)))
+        return lines.select(F.inline(checked))
     if mode == QUARANTINE:
-        good = typed.filter(~_is_bad(schema)).select(*names)
-        return good, typed.filter(_is_bad(schema)).select("value")
+        good = lines.select(F.inline(F.filter(rows, lambda r: ~_is_bad(r, schema))))
+        bad = lines.filter(F.exists(rows, lambda r: _is_bad(r, schema))).select("value")
+        return good, bad
     raise ValueError(f"mode must be '{STRICT}' or '{QUARANTINE}', not {mode!r}")
 
 
