@@ -426,7 +426,7 @@ def stream_realtime(spark: SparkSession, folder: str) -> DataFrame:
     store = _run_store(spark)
     messages = _message_folder(warehouse.rating_messages(spark, folder), store)
     write_table(warehouse.ratings(spark, folder), store, RATING_TABLE)
-    params = Params(key_buckets=64)
+    params = Params(key_buckets=16)
     jobs.run_lookups(spark, store, params)
     _content_index(spark, folder, store)
     query = recommend.start(
