@@ -55,8 +55,9 @@ def parse(
         return lines.select(F.inline(checked))
     if mode == QUARANTINE:
         good = lines.select(F.inline(F.filter(rows, lambda r: ~_is_bad(r, schema))))
-        bad = lines.filter(F.exists(rows, lambda r: _is_bad(r, schema))).select("value")
-        return good, bad
+        # Not a filter: that would be pushed below the text and build it a second time.
+        rejected = F.when(F.exists(rows, lambda r: _is_bad(r, schema)), F.array("value"))
+        return good, lines.select(F.explode(rejected).alias("value"))
     raise ValueError(f"mode must be '{STRICT}' or '{QUARANTINE}', not {mode!r}")
 
 
