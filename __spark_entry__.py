@@ -169,7 +169,7 @@ def _content_index(
 
 
 def content_classes(spark: SparkSession, folder: str) -> DataFrame:
-    return _content_index(spark, folder).members
+    return _content_index(spark, folder).members.select("mid", "cls")
 
 
 def content_similar(spark: SparkSession, folder: str) -> DataFrame:

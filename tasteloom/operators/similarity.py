@@ -27,7 +27,7 @@ from tasteloom.sources.tables import Store, settled
 
 @dataclass(frozen=True)
 class SimilarityIndex:
-    members: DataFrame  # mid, cls
+    members: DataFrame  # mid, cls, n (items in cls)
     links: DataFrame  # cls, sim_cls, score, n (items in sim_cls); both directions
 
     def settled(self, store: Store | None, name: str) -> SimilarityIndex:
@@ -45,6 +45,23 @@ class SimilarityIndex:
         """Items that a link leads to: an item is not similar to itself."""
         return F.col("n") - (F.col("cls") == F.col("sim_cls")).cast("int")
 
+    def _to_members(self, per_class: DataFrame) -> DataFrame:
+        """Give rows made per class to all items of the class.
+
+        A large class is cut into parts of its items, and its rows are repeated for each
+        part: AQE would not split it, because the other side is grouped by the join key.
+        """
+        own = self.links.filter("cls = sim_cls").select("cls", F.col("n").alias("size"))
+        last = _parts(F.coalesce("size", F.lit(1))) - 1
+        repeated = (
+            per_class.join(own, "cls", "left")
+            .withColumn("part", F.explode(F.sequence(F.lit(0), last)))
+            .drop("size")
+        )
+        part = F.pmod(F.xxhash64("mid"), _parts(F.col("n"))).cast("int")
+        items = self.members.select("mid", "cls", part.alias("part"))
+        return items.join(repeated, ["cls", "part"])
+
     def neighbours(self) -> DataFrame:
         """The uncapped lists: ``mid, rank, sim_cls, score, n_similar``, best class first.
 
@@ -52,14 +69,14 @@ class SimilarityIndex:
         Ranks are the same for all items of a class and are made once per class.
         """
         order = [F.desc("score"), F.asc("sim_cls")]
-        return self.members.join(ranked(self.links, "cls", order), "cls").select(
+        return self._to_members(ranked(self.links, "cls", order)).select(
             "mid", "rank", "sim_cls", "score", self._others().alias("n_similar")
         )
 
     def counts(self) -> DataFrame:
         """How many similar items each item has: ``mid, n_similar``."""
         totals = self.links.groupBy("cls").agg(F.sum(self._others()).alias("n_similar"))
-        return self.members.join(totals, "cls").select("mid", "n_similar")
+        return self._to_members(totals).select("mid", "n_similar")
 
     def top(self, k: int) -> DataFrame:
         """Exact top-k lists: ``mid, rank, sim_mid, score``.
@@ -78,7 +95,7 @@ class SimilarityIndex:
         lists = best.groupBy("cls").agg(F.array_sort(F.collect_list(entry)).alias("list"))
         others = F.slice(F.filter("list", lambda e: e["sim_mid"] != F.col("mid")), 1, k)
         return (
-            self.members.join(lists, "cls")
+            self._to_members(lists)
             .select("mid", F.posexplode(others).alias("at", "e"))
             .select("mid", (F.col("at") + 1).alias("rank"), "e.sim_mid", "e.score")
         )
@@ -119,6 +136,14 @@ class SimilarityIndex:
         )
 
 
+PART_ITEMS = 1 << 16
+
+
+def _parts(items: Column) -> Column:
+    """Into how many parts a class of so many items is cut."""
+    return F.ceil(items / PART_ITEMS).cast("int")
+
+
 def index_of_pairs(pairs: DataFrame) -> SimilarityIndex:
     """An index over given ``mid, sim_mid, score`` rows; every item is its own class.
 
@@ -129,7 +154,8 @@ def index_of_pairs(pairs: DataFrame) -> SimilarityIndex:
         F.col("mid").alias("cls"), F.col("sim_mid").alias("sim_cls")
     ).agg(F.max("score").alias("score"), F.lit(1).cast("bigint").alias("n"))
     both = pairs.select(F.explode(F.array("mid", "sim_mid")).alias("mid")).distinct()
-    return SimilarityIndex(both.select("mid", F.col("mid").alias("cls")), links)
+    one = F.lit(1).cast("bigint").alias("n")
+    return SimilarityIndex(both.select("mid", F.col("mid").alias("cls"), one), links)
 
 
 def recs_as_map(nested: DataFrame) -> DataFrame:
@@ -312,7 +338,7 @@ def sparse_index(
     )
     # Every vector keeps its first term, so these are the classes that have a length.
     own = _own_links(rows.filter(F.size("earlier") == 0).select("cls", "n"), threshold)
-    members = docs.join(classes, "terms").select("mid", "cls")
+    members = docs.join(classes, "terms").select("mid", "cls", "n")
     return SimilarityIndex(members, both_ways.unionByName(own)).settled(store, name)
 
 
@@ -443,5 +469,5 @@ def dense_index(
             "n",
         )
     )
-    members = usable.join(classes, ["vec", "norm"]).select("mid", "cls")
+    members = usable.join(classes, ["vec", "norm"]).select("mid", "cls", "n")
     return SimilarityIndex(members, found.unionByName(_own_links(classes, threshold))).settled(store, name)

@@ -88,6 +88,7 @@ def test_sparse_index_without_a_store(spark):
 
 def test_full_lists_over_id_chunks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(ranking, "CHUNK_WIDTH", 16)
+    monkeypatch.setattr(S, "PART_ITEMS", 7)
     texts = catalogue(100, 4, copies=0.6)
     index = content.similar(frame(spark, texts), digits=6, store=Store(str(tmp_path)))
     check_index(spark, index, tfidf_pairs(texts, 0.6))
