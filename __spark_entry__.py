@@ -36,6 +36,13 @@ from tasteloom.sources.tables import (  # noqa: E402
 )
 from tasteloom.streaming import logs, recommend  # noqa: E402
 
+# The training-data operators are an optional part.
+try:
+    from tasteloom.llm import queries as llm  # noqa: E402
+    from tasteloom.llm import sql as llm_sql  # noqa: E402
+except ImportError:
+    llm = llm_sql = None
+
 DIGITS = 6
 VECTOR_THRESHOLD = 0.3
 
@@ -517,10 +524,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named["sql_rate_more_items"] = _statistic_by_sql("rate_more")
     named["sql_rate_more_recently"] = _statistic_by_sql("rate_more_recently")
     named["sql_average_items"] = _statistic_by_sql("average")
+    named.update(llm.queries() if llm else {})
     return named
 
 
 def oracle_sql() -> dict[str, str]:
     import oracle
 
-    return oracle.SQL
+    return oracle.SQL | (llm_sql.SQL if llm_sql else {})
