@@ -12,11 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from tasteloom.plans.session import checkpoint_folder
 
 #: Text bytes that one slice of an Arrow batch may hold; a longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+#: Bytes of rows that Spark may put into one Arrow batch; its own limit counts rows.
+BATCH_BYTES = 16 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's limit for Arrow batches if it is higher than texts allow."""
+    if int(spark.conf.get(_BATCH_SETTING).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder for one run, in the folder that all executors share."""
+    bounded_batches(spark)
     return f"{checkpoint_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
@@ -39,6 +49,7 @@ def slices(
             end = min(max(end, at + 1), batch.num_rows)
             yield batch.slice(at, end - at)
             at = end
+        pa.default_memory_pool().release_unused()
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -59,6 +70,8 @@ def arrow_map(
 ) -> DataFrame:
     """``mapInArrow`` over pieces of bounded size."""
 
+    bounded_batches(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, text):
             yield step(piece)

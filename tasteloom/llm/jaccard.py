@@ -7,7 +7,7 @@ that fall into them. The overlap of two texts is counted per fragment and summed
 
 Pairs are looked for by exact bounds only. Two sets that reach the threshold share a gram
 among the first of each in the global order (prefix filter), have similar sizes, and leave
-room behind that gram for the overlap that is needed; a parity bitmap of 256 bits bounds the
+room behind that gram for the overlap that is needed; a parity bitmap of ``MAP_BITS`` bits bounds the
 difference of two sets from below. Whatever passes is counted exactly.
 
 Copies and large groups: equal sets are one class, named by a 64-bit digest, and only classes
@@ -47,7 +47,10 @@ PERCENT = 90
 _BUCKET_BITS = 16
 BUCKETS = 1 << _BUCKET_BITS
 FRAGMENTS = 4
-_MAPS = ["b0", "b1", "b2", "b3"]
+#: Bits of the parity bitmap; it tells sets of some thousand grams apart.
+MAP_BITS = 1024
+#: A leader shares at least one in so many of the prefix grams.
+LEADER_SHARE = 5
 
 
 def _grams(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -136,7 +139,7 @@ def probe_prefix(size: int, percent: int) -> int:
 
 
 def _signatures(docs: DataFrame, order, n: int, percent: int) -> DataFrame:
-    """``doc_id, row, n_shingles, cid, prefix, b0..b3`` of every row."""
+    """``doc_id, row, n_shingles, cid, prefix, map`` of every row."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         sizes, cids, prefixes, maps = [], [], [], []
@@ -144,11 +147,10 @@ def _signatures(docs: DataFrame, order, n: int, percent: int) -> DataFrame:
             sizes.append(len(keys))
             cids.append(_digest(keys))
             prefixes.append(keys[: probe_prefix(len(keys), percent)].view(np.int64) if len(keys) else keys[:0].view(np.int64))
-            parity = np.bincount((W.mixed(keys) >> np.uint64(56)).astype(np.int64), minlength=256) & 1
-            maps.append(np.packbits(parity.astype(np.uint8)).view("<i8"))
+            bit = (W.mixed(keys) % np.uint64(MAP_BITS)).astype(np.int64)
+            maps.append(np.packbits(np.bincount(bit, minlength=MAP_BITS) & 1 == 1).tobytes())
         limits = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
         flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
-        maps = np.array(maps, np.int64).reshape(-1, 4)
         return pa.record_batch(
             [
                 batch.column(0),
@@ -156,13 +158,13 @@ def _signatures(docs: DataFrame, order, n: int, percent: int) -> DataFrame:
                 pa.array(sizes, pa.int64()),
                 pa.array(cids, pa.int64()),
                 pa.ListArray.from_arrays(pa.array(limits), pa.array(flat, pa.int64())),
-                *(pa.array(maps[:, i]) for i in range(4)),
+                pa.array(maps, pa.binary()),
             ],
-            ["doc_id", "row", "n_shingles", "cid", "prefix", *_MAPS],
+            ["doc_id", "row", "n_shingles", "cid", "prefix", "map"],
         )
 
     schema = "doc_id bigint, row bigint, n_shingles bigint, cid bigint, prefix array<bigint>, "
-    schema += ", ".join(f"{b} bigint" for b in _MAPS)
+    schema += "map binary"
     return arrow_map(docs.select("doc_id", F.xxhash64("text").alias("row"), "text"), step, schema)
 
 
@@ -175,27 +177,45 @@ def _needed(x: str, y: str, percent: int) -> Column:
 def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs ``x, y`` whose sizes and bitmaps allow the threshold, with ``nx, ny``."""
     for side in ("x", "y"):
-        maps = [F.col(b).alias(f"{b}{side}") for b in _MAPS]
-        known = classes.select(F.col("cid").alias(side), F.col("n").alias(f"n{side}"), *maps)
+        known = classes.select(
+            F.col("cid").alias(side), F.col("n").alias(f"n{side}"), F.col("map").alias(f"m{side}")
+        )
         pairs = pairs.join(known, side)
-    apart = F.lit(0)
-    for b in _MAPS:
-        apart = apart + F.bit_count(F.col(f"{b}x").bitwiseXOR(F.col(f"{b}y")))
-    need = _needed("nx", "ny", percent)
-    return pairs.filter(
-        (F.least("nx", "ny") >= need) & (apart <= F.col("nx") + F.col("ny") - 2 * need)
-    ).select("x", "y", "nx", "ny")
+    schema = "x bigint, y bigint, nx bigint, ny bigint"
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            maps = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64) for i in (4, 5)]
+            apart = np.bitwise_count(maps[0] ^ maps[1]).reshape(batch.num_rows, -1).sum(1, np.int64)
+            nx, ny, need = (batch.column(i).to_numpy() for i in (2, 3, 6))
+            yield pa.record_batch(batch.columns[:4], ["x", "y", "nx", "ny"]).filter(
+                pa.array(apart <= nx + ny - 2 * need)
+            )
+
+    need = _needed("nx", "ny", percent).cast("bigint").alias("need")
+    sized = pairs.filter(F.least("nx", "ny") >= _needed("nx", "ny", percent))
+    return sized.select("x", "y", "nx", "ny", "mx", "my", need).mapInArrow(step, schema)
 
 
 def partial_overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """``x, y, fragment, common`` from ``x, y`` pairs and ``cid, fragment, grams`` segments."""
+    """``x, y, fragment, common`` from ``x, y`` pairs and ``cid, fragment, grams`` segments.
+
+    Repeated rows may give a segment twice, and then its overlap.
+    """
 
     def side(name: str) -> DataFrame:
         return segments.select(
             F.col("cid").alias(name), F.col("fragment").alias(f"f{name}"), F.col("grams").alias(f"g{name}")
         )
 
-    both = pairs.join(side("x"), "x").join(side("y").withColumnRenamed("y", "_y"), (F.col("y") == F.col("_y")) & (F.col("fx") == F.col("fy")))
+    fragments = F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("f")
+    both = (
+        pairs.select("x", "y", fragments)
+        .join(side("x").withColumnsRenamed({"x": "_x"}), (F.col("x") == F.col("_x")) & (F.col("f") == F.col("fx")))
+        .join(side("y").withColumnsRenamed({"y": "_y"}), (F.col("y") == F.col("_y")) & (F.col("f") == F.col("fy")))
+    )
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,7 +227,7 @@ def partial_overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
                 [*batch.columns[:3], pa.array(common, pa.int64())], ["x", "y", "fragment", "common"]
             )
 
-    return both.select("x", "y", F.col("fx").alias("fragment"), "gx", "gy").mapInArrow(
+    return both.select("x", "y", F.col("f").alias("fragment"), "gx", "gy").mapInArrow(
         step, "x bigint, y bigint, fragment int, common bigint"
     )
 
@@ -232,8 +252,7 @@ def _segments(docs: DataFrame, wanted: DataFrame, order, n: int) -> DataFrame:
         )
 
     some = passing(docs.select(F.col("doc_id").alias("rep"), "text"), "rep", bits)
-    made = arrow_map(some, step, "cid bigint, fragment int, grams binary")
-    return made.join(wanted.select("cid"), "cid", "left_semi").dropDuplicates(["cid", "fragment"])
+    return arrow_map(some, step, "cid bigint, fragment int, grams binary")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order, n: int, percent: int, folder: str) -> DataFrame:
@@ -243,6 +262,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order, n: i
     segments = saved(_segments(docs, wanted, order, n), f"{folder}-segments")
     common = (
         partial_overlaps(pairs.select("x", "y"), segments)
+        .groupBy("x", "y", "fragment")
+        .agg(F.max("common").alias("common"))
         .groupBy("x", "y")
         .agg(F.sum("common").alias("common"))
     )
@@ -258,14 +279,14 @@ def classes_and_links(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tu
     order = spark.sparkContext.broadcast(global_order(docs, n))
     signed = saved(_signatures(docs, order, n, percent), f"{folder}/signatures")
     rows = signed.select("doc_id", "row", "n_shingles", "cid")
-    same = [F.first(c).alias(c) for c in ("prefix", *_MAPS)]
+    same = [F.first(c).alias(c) for c in ("prefix", "map")]
     classes = saved(
         signed.filter("n_shingles > 0")
         .groupBy("cid")
         .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), *same),
         f"{folder}/classes",
     )
-    facts = classes.select("cid", "rep", "n", *_MAPS)
+    facts = classes.select("cid", "rep", "n", "map")
     entries = classes.select("cid", "n", F.posexplode("prefix").alias("pos", "gram"))
     # Lists of one class link nothing.
     shared = entries.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1").select("gram")
@@ -280,9 +301,11 @@ def classes_and_links(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tu
     led = banded.join(
         leaders.filter("c > 1").select("gram", "band", F.col("lead.cid").alias("y")), ["gram", "band"]
     ).filter("cid <> y")
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     best = (
-        led.groupBy(F.col("cid").alias("x"), "y")
+        led.groupBy(F.col("cid").alias("x"), "n", "y")
         .agg(F.count("*").alias("c"))
+        .filter(F.col("c") * LEADER_SHARE >= prefix)
         .groupBy("x")
         .agg(F.max_by("y", F.struct("c", -F.col("y"))).alias("y"))
     )

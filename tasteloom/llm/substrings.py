@@ -46,8 +46,8 @@ from tasteloom.llm.ids import id_filter, passing
 WINDOW = 50
 GRAM = 14
 #: Words of reference passages in a shard, about; and words that stream through one copy.
-SHARD_WORDS = 40_000
-GROUP_WORDS = 1_000_000
+SHARD_WORDS = 20_000
+GROUP_WORDS = 400_000
 
 
 def _sliding(values: np.ndarray, k: int, take) -> np.ndarray:
