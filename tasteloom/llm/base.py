@@ -66,14 +66,18 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def arrow_map(
-    df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: str = "text"
+    df: DataFrame,
+    step: Callable[[pa.RecordBatch], pa.RecordBatch],
+    schema: str,
+    text: str = "text",
+    first: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None,
 ) -> DataFrame:
-    """``mapInArrow`` over pieces of bounded size."""
+    """``mapInArrow`` over pieces of bounded size; ``first`` is done to whole batches before."""
 
     bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, text):
+        for piece in slices(map(first, batches) if first else batches, text):
             yield step(piece)
 
     return df.mapInArrow(run, schema)

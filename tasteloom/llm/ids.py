@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,15 +33,28 @@ def id_filter(ids: DataFrame, column: str):
     return ids.sparkSession.sparkContext.broadcast(bits.view(np.uint64))
 
 
-def passing(docs: DataFrame, column: str, shared, passes: bool = True) -> DataFrame:
-    """The rows whose id may be in the filter (or, not ``passes``, surely is not)."""
+def with_slot(docs: DataFrame, column: str) -> DataFrame:
+    return docs.withColumn("_slot", _slot(column))
 
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def passing(shared, passes: bool = True) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+    """For batches ``with_slot``: the rows whose id may be in the filter, or surely is not."""
+
+    def kept(batch: pa.RecordBatch) -> pa.RecordBatch:
         bits = shared.value
-        for batch in batches:
-            slot = batch.column(batch.num_columns - 1).to_numpy()
-            inside = bits[slot >> 6] >> (slot & 63).astype(np.uint64) & np.uint64(1) == int(passes)
-            names = batch.schema.names[:-1]
-            yield pa.record_batch(batch.columns[:-1], names).filter(pa.array(inside))
+        slot = batch.column(batch.num_columns - 1).to_numpy()
+        inside = bits[slot >> 6] >> (slot & 63).astype(np.uint64) & np.uint64(1) == int(passes)
+        named = pa.record_batch(batch.columns[:-1], batch.schema.names[:-1])
+        return named.filter(pa.array(inside))
+
+    return kept
+
+
+def rows_passing(docs: DataFrame, column: str, shared) -> DataFrame:
+    """The rows whose id may be in the filter, before a shuffle."""
+    keep = passing(shared)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return map(keep, batches)
 
-    return docs.withColumn("_slot", _slot(column)).mapInArrow(step, docs.schema)
+    return with_slot(docs, column).mapInArrow(run, docs.schema)

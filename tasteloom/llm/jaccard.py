@@ -11,10 +11,9 @@ room behind that gram for the overlap that is needed; a parity bitmap of ``MAP_B
 difference of two sets from below. Whatever passes is counted exactly.
 
 Copies and large groups: equal sets are one class, named by a 64-bit digest, and only classes
-are joined. Then each class is compared with one leader: the smallest class of similar size
-with which it shares most prefix grams. Components of these links come first; after that
-only pairs across components are looked for, gram lists that lie within one component not at
-all. So a group of near copies costs about its size, and no link that joins two components
+are joined. Then, in some rounds, each class is compared with one leader of another component:
+a class of similar size with which it shares most prefix grams. After these only pairs across
+components are looked for, gram lists that lie within one component not at all. So a group of near copies costs about its size, and no link that joins two components
 is lost. Links within a component add nothing to it and are not listed.
 
 No list of a gram is gathered: lists are joined, and Spark splits long ones. The sets that
@@ -39,7 +38,7 @@ from pyspark.sql import functions as F
 from tasteloom.llm import words as W
 from tasteloom.llm.base import arrow_map, saved, scratch, slices
 from tasteloom.llm.components import components
-from tasteloom.llm.ids import id_filter, passing
+from tasteloom.llm.ids import id_filter, passing, with_slot
 
 N = 3
 #: The threshold is PERCENT / 100.
@@ -49,8 +48,8 @@ BUCKETS = 1 << _BUCKET_BITS
 FRAGMENTS = 4
 #: Bits of the parity bitmap; it tells sets of some thousand grams apart.
 MAP_BITS = 1024
-#: A leader shares at least one in so many of the prefix grams.
-LEADER_SHARE = 5
+#: Rounds in which classes are compared with leaders before pairs are looked for.
+LEADER_ROUNDS = 4
 
 
 def _grams(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -251,8 +250,8 @@ def _segments(docs: DataFrame, wanted: DataFrame, order, n: int) -> DataFrame:
             ["cid", "fragment", "grams"],
         )
 
-    some = passing(docs.select(F.col("doc_id").alias("rep"), "text"), "rep", bits)
-    return arrow_map(some, step, "cid bigint, fragment int, grams binary")
+    some = with_slot(docs.select(F.col("doc_id").alias("rep"), "text"), "rep")
+    return arrow_map(some, step, "cid bigint, fragment int, grams binary", first=passing(bits))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order, n: int, percent: int, folder: str) -> DataFrame:
@@ -272,6 +271,29 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order, n: i
     return saved(linked.select(F.col("x").alias("a"), F.col("y").alias("b")), folder)
 
 
+def _leaders(named: DataFrame, step: int, percent: int) -> DataFrame:
+    """``x, y``: every class and the leader with which it shares most prefix grams.
+
+    A gram has one leader for each band of sizes, another one in each step; sizes within a
+    band differ by less than the threshold allows. Leaders of the same component are left out.
+    """
+    banded = named.withColumn(
+        "band", F.floor(F.log(F.col("n").cast("double")) / -float(np.log(percent / 100)))
+    )
+    first = F.min_by(F.struct("cid", "root"), F.xxhash64(F.lit(step), F.col("cid"))).alias("lead")
+    leaders = banded.groupBy("gram", "band").agg(first, F.count("*").alias("c")).filter("c > 1")
+    led = banded.join(
+        leaders.select("gram", "band", F.col("lead.cid").alias("y"), F.col("lead.root").alias("of_y")),
+        ["gram", "band"],
+    ).filter("root <> of_y")
+    return (
+        led.groupBy(F.col("cid").alias("x"), "y")
+        .agg(F.count("*").alias("c"))
+        .groupBy("x")
+        .agg(F.max_by("y", F.struct("c", -F.col("y"))).alias("y"))
+    )
+
+
 def classes_and_links(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows (``doc_id, row, n_shingles, cid``), classes and the links that join components."""
     spark = docs.sparkSession
@@ -292,31 +314,24 @@ def classes_and_links(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tu
     shared = entries.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1").select("gram")
     lists = saved(entries.join(shared, "gram", "left_semi"), f"{folder}/lists")
 
-    # Sizes within one band differ by less than the threshold allows.
-    band = F.floor(F.log(F.col("n").cast("double")) / -float(np.log(percent / 100)))
-    banded = lists.withColumn("band", band)
-    leaders = banded.groupBy("gram", "band").agg(
-        F.min(F.struct("n", "cid")).alias("lead"), F.count("*").alias("c")
-    )
-    led = banded.join(
-        leaders.filter("c > 1").select("gram", "band", F.col("lead.cid").alias("y")), ["gram", "band"]
-    ).filter("cid <> y")
-    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    best = (
-        led.groupBy(F.col("cid").alias("x"), "n", "y")
-        .agg(F.count("*").alias("c"))
-        .filter(F.col("c") * LEADER_SHARE >= prefix)
-        .groupBy("x")
-        .agg(F.max_by("y", F.struct("c", -F.col("y"))).alias("y"))
-    )
-    first = saved(_near(best, facts, percent), f"{folder}/near1")
-    links = _verified(first, docs, facts, order, n, percent, f"{folder}/links1")
-
-    roots = saved(components(links, f"{folder}/components1"), f"{folder}/roots1")
-    named = lists.join(roots.withColumnRenamed("id", "cid"), "cid", "left").select(
-        "gram", "cid", "n", "pos", F.coalesce("root", "cid").alias("root")
-    )
-    named = saved(named, f"{folder}/named")
+    roots, found = None, []
+    named = lists.withColumn("root", F.col("cid"))
+    for step in range(LEADER_ROUNDS):
+        best = _leaders(named, step, percent)
+        near = saved(_near(best, facts, percent), f"{folder}/near{step}")
+        if not near.take(1):
+            break
+        found.append(_verified(near, docs, facts, order, n, percent, f"{folder}/links{step}"))
+        links = found[0]
+        for more in found[1:]:
+            links = links.unionByName(more)
+        roots = components(links, f"{folder}/components{step}")
+        named = saved(
+            lists.join(roots.withColumnRenamed("id", "cid"), "cid", "left").select(
+                "gram", "cid", "n", "pos", F.coalesce("root", "cid").alias("root")
+            ),
+            f"{folder}/named{step}",
+        )
     open_ = named.groupBy("gram").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b")
     across = saved(named.join(open_.select("gram"), "gram", "left_semi"), f"{folder}/across")
     # The smaller set is found by a shorter prefix.
@@ -337,9 +352,11 @@ def classes_and_links(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tu
         .select(F.col("cx").alias("x"), F.col("cy").alias("y"))
         .distinct()
     )
-    second = saved(_near(pairs, facts, percent), f"{folder}/near2")
-    more = _verified(second, docs, facts, order, n, percent, f"{folder}/links2")
-    return rows, facts, links.unionByName(more)
+    last = saved(_near(pairs, facts, percent), f"{folder}/near")
+    links = _verified(last, docs, facts, order, n, percent, f"{folder}/links")
+    for more in found:
+        links = links.unionByName(more)
+    return rows, facts, links
 
 
 def groups(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from tasteloom.llm import words as W
 from tasteloom.llm.base import arrow_map, saved, scratch
-from tasteloom.llm.ids import id_filter, passing
+from tasteloom.llm.ids import id_filter, passing, rows_passing, with_slot
 
 WINDOW = 50
 GRAM = 14
@@ -139,7 +139,7 @@ def _windows(docs: DataFrame, flags: DataFrame, window: int, gram: int) -> DataF
         )
 
     bits = id_filter(flags, "doc")
-    some = passing(docs.select(F.col("doc_id").alias("doc"), "text"), "doc", bits)
+    some = rows_passing(docs.select(F.col("doc_id").alias("doc"), "text"), "doc", bits)
     joined = some.join(flags, "doc").select("doc", "text", "anchors")
     return arrow_map(joined, step, "h bigint, doc bigint, pos int")
 
@@ -268,7 +268,7 @@ def _dealt(docs: DataFrame, info: DataFrame, window: int) -> DataFrame:
         return pa.record_batch([pa.array(v, types.get(n, pa.int64())) for n, v in out.items()], list(out))
 
     bits = id_filter(info, "doc")
-    some = passing(docs.select(F.col("doc_id").alias("doc"), "text"), "doc", bits)
+    some = rows_passing(docs.select(F.col("doc_id").alias("doc"), "text"), "doc", bits)
     joined = some.join(info, "doc").select("doc", "text", "firsts", "shards", "own")
     return arrow_map(
         joined, step, "shard int, part int, kind int, doc bigint, cls bigint, words binary"
@@ -407,10 +407,11 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Dat
 
     bits = id_filter(spans, "doc")
     by_doc = spans.groupBy("doc").agg(F.collect_list(F.struct("cls", "spans")).alias("cut"))
-    some = passing(picked, "doc_id", bits).join(by_doc, F.col("doc_id") == F.col("doc"), "left")
-    untouched = passing(picked, "doc_id", bits, False)
-    return arrow_map(some.select("doc_id", "text", "cut"), step, schema).unionByName(
-        arrow_map(untouched, step, schema)
+    some = rows_passing(picked, "doc_id", bits)
+    some = some.join(by_doc, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "cut")
+    untouched = with_slot(picked, "doc_id")
+    return arrow_map(some, step, schema).unionByName(
+        arrow_map(untouched, step, schema, first=passing(bits, False))
     )
 
 
