@@ -207,8 +207,11 @@ def spans(hits: DataFrame, templates: tuple[Template, ...]) -> DataFrame:
     apart = (
         (F.abs(F.col("diagonal") - F.lag("diagonal").over(order)) > DIAGONALS)
         | (F.col("start") > F.max("end").over(before) + GAP)
-        # The template begins again.
-        | (F.element_at("at", 1) + F.col("length") / 2 < F.lag(F.element_at("at", -1)).over(order))
+        # The template begins again behind what was found so far.
+        | (
+            (F.col("start") >= F.max("end").over(before))
+            & (F.element_at("at", 1) < F.lag(F.element_at("at", -1)).over(order))
+        )
     )
     merged = (
         lines.filter(~F.col("base"))
