@@ -51,10 +51,10 @@ class SimilarityIndex:
         A large class is cut into parts of its items, and its rows are repeated for each
         part: AQE would not split it, because the other side is grouped by the join key.
         """
-        own = self.links.filter("cls = sim_cls").select("cls", F.col("n").alias("size"))
-        last = _parts(F.coalesce("size", F.lit(1))) - 1
+        own = self.members.select("cls", F.col("n").alias("size")).distinct()
+        last = _parts(F.col("size")) - 1
         repeated = (
-            per_class.join(own, "cls", "left")
+            per_class.join(own, "cls")
             .withColumn("part", F.explode(F.sequence(F.lit(0), last)))
             .drop("size")
         )
@@ -433,10 +433,13 @@ def dense_index(
         F.min("mid").alias("cls"), F.count("*").alias("n")
     )
     classes = settled(classes, store, f"{name}Classes")
+    sizes = classes.agg(F.min(F.size("vec")).alias("a"), F.max(F.size("vec")).alias("b")).first()
+    if sizes["a"] != sizes["b"]:
+        raise ValueError(f"vectors of {sizes['a']} and of {sizes['b']} numbers have no cosine")
     if blocks is None:
-        first = vectors.select(F.size("vec").alias("dim")).first()
-        dim = first["dim"] if first else 1
-        blocks = block_count(vectors.count(), dim, spark.sparkContext.defaultParallelism)
+        facts = classes.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("dim")).first()
+        dim = facts["dim"] or 1
+        blocks = block_count(facts["n"], dim, spark.sparkContext.defaultParallelism)
     blocked = classes.select(
         F.col("cls").cast("bigint").alias("cls"),
         "n",

@@ -8,15 +8,20 @@ from multiprocessing.pool import ThreadPool
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tasteloom.operators.factors import block_default, estimator, predict, triples
+from tasteloom.operators.factors import estimator, predict, triples
 from tasteloom.schemas import DEFAULTS
 
 
 def random_split(
     ratings: DataFrame, train_ratio: float = DEFAULTS.train_ratio, seed: int = DEFAULTS.seed
 ) -> tuple[DataFrame, DataFrame]:
-    train, test = ratings.randomSplit([train_ratio, 1 - train_ratio], seed)
-    return train, test
+    """A split by a hash of the whole row: it does not change when a part is computed again.
+
+    Equal rows stay on one side.
+    """
+    drawn = F.pmod(F.xxhash64(F.lit(seed), *ratings.columns), F.lit(1 << 30))
+    in_train = drawn < F.lit(round(train_ratio * (1 << 30)))
+    return ratings.filter(in_train), ratings.filter(~in_train)
 
 
 def hash_split(
@@ -49,7 +54,7 @@ def grid(
     max_iter: int = DEFAULTS.iterations,
     train_ratio: float = DEFAULTS.train_ratio,
     seed: int = DEFAULTS.seed,
-    blocks: int | None = None,
+    blocks: int = DEFAULTS.als_blocks,
     parallelism: int = 1,
 ) -> DataFrame:
     """Train on one part, measure on the other: ``rank, reg, rmse, is_best``.
@@ -57,7 +62,6 @@ def grid(
     All points share one split. ``parallelism`` points are trained at the same time.
     """
     spark = ratings.sparkSession
-    blocks = blocks or block_default(ratings)
     train, test = (part.persist() for part in random_split(triples(ratings), train_ratio, seed))
 
     def measure(point: tuple[int, float]) -> tuple[int, float, float]:
@@ -77,5 +81,6 @@ def grid(
 
 
 def best(report: DataFrame) -> DataFrame:
-    """The grid point with the lowest error."""
-    return report.orderBy("rmse", "rank", "reg").limit(1)
+    """The grid point with the lowest error; one without an error is never better."""
+    error = F.nanvl("rmse", F.lit(None).cast("double"))
+    return report.orderBy(error.asc_nulls_last(), "rank", "reg").limit(1)

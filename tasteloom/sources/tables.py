@@ -122,8 +122,9 @@ def write_by_key(df: DataFrame, store: Store, name: str, key: str, buckets: int)
     """Replace a table made for looking keys up: one folder per hash bucket of the key.
 
     Rows are spread by bucket, key and row hash, so a bucket with a hot key is written by
-    several tasks.
+    several tasks. The number of buckets is kept in a table beside it.
     """
+    _save(df.sparkSession.range(1).select(F.lit(buckets).alias("buckets")), store, _layout(name))
     bucketed = df.withColumn("bucket", key_bucket(key, buckets))
     (
         laid_out(bucketed, ["bucket", key])
@@ -135,6 +136,10 @@ def write_by_key(df: DataFrame, store: Store, name: str, key: str, buckets: int)
     )
 
 
+def _layout(name: str) -> str:
+    return f"{name}Layout"
+
+
 def read_by_key(
     spark: SparkSession,
     store: Store,
@@ -146,8 +151,12 @@ def read_by_key(
 ) -> DataFrame:
     """The rows of the given keys; only the folders of their buckets are read.
 
-    The bucket numbers, ``buckets`` of them at most, are all that the driver sees.
+    ``buckets`` must be the number that the table was written with, or its rows would not
+    be found. The bucket numbers, ``buckets`` of them at most, are all that the driver sees.
     """
+    written = _reader(spark, store, _layout(name), None).first()["buckets"]
+    if written != buckets:
+        raise ValueError(f"{name} has {written} key buckets, not {buckets}")
     touched = keys.select(key_bucket(key, buckets).alias("bucket")).distinct()
     wanted = [row["bucket"] for row in touched.collect()]
     stored = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType(), True)])
