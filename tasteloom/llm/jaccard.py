@@ -7,8 +7,8 @@ that fall into them. The overlap of two texts is counted per fragment and summed
 
 Pairs are looked for by exact bounds only. Two sets that reach the threshold share a gram
 among the first of each in the global order (prefix filter), have similar sizes, and leave
-room behind that gram for the overlap that is needed; a parity bitmap of ``MAP_BITS`` bits bounds the
-difference of two sets from below. Whatever passes is counted exactly.
+room behind that gram for the overlap that is needed; a parity bitmap with about a bit per gram
+bounds the difference of two sets from below. Whatever passes is counted exactly.
 
 Copies and large groups: equal sets are one class, named by a 64-bit digest, and only classes
 are joined. Then, in some rounds, each class is compared with one leader of another component:
@@ -46,7 +46,8 @@ PERCENT = 90
 _BUCKET_BITS = 16
 BUCKETS = 1 << _BUCKET_BITS
 FRAGMENTS = 4
-#: Bits of the parity bitmap; it tells sets of some thousand grams apart.
+#: Least bits of the parity bitmap. A larger set has the next power of two: with fewer bits than
+#: grams the bound would lie under what the threshold allows, and every pair would pass.
 MAP_BITS = 1024
 #: Rounds in which classes are compared with leaders before pairs are looked for.
 LEADER_ROUNDS = 4
@@ -137,6 +138,33 @@ def probe_prefix(size: int, percent: int) -> int:
     return size - _ceil(percent * size, 100) + 1
 
 
+def parity_map(keys: np.ndarray) -> bytes:
+    """Bit i: whether an odd number of the keys falls on it."""
+    bits = max(MAP_BITS, 1 << max(len(keys) - 1, 0).bit_length())
+    at = (W.mixed(keys) % np.uint64(bits)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=bits) & 1 == 1).tobytes()
+
+
+def parity_distances(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """Bits in which the maps of each pair differ, the longer one folded onto the shorter.
+
+    No more than the keys that only one of the sets has.
+    """
+    out = np.zeros(len(left), np.int64)
+    lengths = np.array([[len(a), len(b)] for a, b in zip(left, right, strict=True)]).reshape(-1, 2)
+    for pair in np.unique(lengths, axis=0):
+        at = np.flatnonzero((lengths == pair).all(1))
+        sides = [
+            np.frombuffer(b"".join(side[i] for i in at), np.uint64).reshape(len(at), -1) for side in (left, right)
+        ]
+        width = pair.min() // 8
+        a, b = (
+            np.bitwise_xor.reduce(side.reshape(len(at), -1, width), axis=1) for side in sides
+        )
+        out[at] = np.bitwise_count(a ^ b).sum(1, np.int64)
+    return out
+
+
 def _signatures(docs: DataFrame, order, n: int, percent: int) -> DataFrame:
     """``doc_id, row, n_shingles, cid, prefix, map`` of every row."""
 
@@ -146,8 +174,7 @@ def _signatures(docs: DataFrame, order, n: int, percent: int) -> DataFrame:
             sizes.append(len(keys))
             cids.append(_digest(keys))
             prefixes.append(keys[: probe_prefix(len(keys), percent)].view(np.int64) if len(keys) else keys[:0].view(np.int64))
-            bit = (W.mixed(keys) % np.uint64(MAP_BITS)).astype(np.int64)
-            maps.append(np.packbits(np.bincount(bit, minlength=MAP_BITS) & 1 == 1).tobytes())
+            maps.append(parity_map(keys))
         limits = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
         flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
         return pa.record_batch(
@@ -186,8 +213,7 @@ def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            maps = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64) for i in (4, 5)]
-            apart = np.bitwise_count(maps[0] ^ maps[1]).reshape(batch.num_rows, -1).sum(1, np.int64)
+            apart = parity_distances(batch.column(4).to_pylist(), batch.column(5).to_pylist())
             nx, ny, need = (batch.column(i).to_numpy() for i in (2, 3, 6))
             yield pa.record_batch(batch.columns[:4], ["x", "y", "nx", "ny"]).filter(
                 pa.array(apart <= nx + ny - 2 * need)

@@ -263,6 +263,20 @@ def test_jaccard_groups(docs, empty, n, percent):
     assert jaccard.groups(empty).count() == 0
 
 
+def test_parity_distance_is_a_lower_bound():
+    draw = np.random.default_rng(7)
+    sets = [np.unique(draw.integers(0, 40_000, n).astype(np.uint64)) for n in (0, 1, 900, 1100, 5000, 9000)]
+    pairs = [(a, b) for a in sets for b in sets]
+    found = jaccard.parity_distances(*([jaccard.parity_map(p[i]) for p in pairs] for i in (0, 1)))
+    for (a, b), apart in zip(pairs, found, strict=True):
+        assert apart <= len(np.setxor1d(a, b)) and (apart == 0) == (len(a) == len(b))
+    # Two unrelated long sets of one size are told apart at 90 percent.
+    other = draw.integers(1 << 40, 1 << 41, 9000).astype(np.uint64)
+    long = draw.integers(0, 1 << 40, 9000).astype(np.uint64)
+    assert jaccard.parity_distances([jaccard.parity_map(long)], [jaccard.parity_map(other)])[0] > 2 * 9000 * 10 / 190
+    assert len(jaccard.parity_distances([], [])) == 0
+
+
 def test_jaccard_in_a_group_of_near_copies(spark):
     draw = np.random.default_rng(5)
     base = [f"b{i}" for i in range(120)]
