@@ -17,13 +17,18 @@ from pyspark.ml.functions import vector_to_array  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from tasteloom.functions import cosine  # noqa: E402
+from tasteloom.functions import cosine, score_in  # noqa: E402
 from tasteloom.operators import content, factors, realtime, statistics, tags, tuning  # noqa: E402
-from tasteloom.operators.ranking import newest_per_user, recent, top_per_key  # noqa: E402
-from tasteloom.operators.similarity import SimilarityIndex, dense_index  # noqa: E402
+from tasteloom.operators.ranking import as_recs, newest_per_user, recent, top_per_key  # noqa: E402
+from tasteloom.operators.similarity import (  # noqa: E402
+    SimilarityIndex,
+    dense_index,
+    document_classes,
+    recs_as_map,
+)
 from tasteloom.plans import jobs  # noqa: E402
 from tasteloom.plans.session import checkpoint_folder  # noqa: E402
-from tasteloom.schemas import CONTENT_RECS, RATING, RATING_TABLE, Params  # noqa: E402
+from tasteloom.schemas import CONTENT_RECS, RATING, RATING_TABLE  # noqa: E402
 from tasteloom.sources import text, warehouse  # noqa: E402
 from tasteloom.sources.streams import file_lines  # noqa: E402
 from tasteloom.sources.tables import (  # noqa: E402
@@ -176,7 +181,8 @@ def _content_index(
 
 
 def content_classes(spark: SparkSession, folder: str) -> DataFrame:
-    return _content_index(spark, folder).members.select("mid", "cls")
+    docs = content.documents(warehouse.items(spark, folder))
+    return docs.join(document_classes(docs), "terms").select("mid", "cls")
 
 
 def content_similar(spark: SparkSession, folder: str) -> DataFrame:
@@ -191,6 +197,14 @@ def content_similar_top20(spark: SparkSession, folder: str) -> DataFrame:
     return _content_index(spark, folder).top(20)
 
 
+def similar_map_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector's score with the next id, looked up in the map of its ten best; else 0."""
+    best = vector_similar_top10(spark, folder)
+    nested = as_recs(best.select(F.col("vec_id").alias("mid"), "rank", "sim_vec_id", "score"), "mid", item="sim_vec_id")
+    score = score_in("scores", F.col("mid") + 1)
+    return recs_as_map(nested).select(F.col("mid").alias("vec_id"), score.alias("score"))
+
+
 def content_hashed_weights(spark: SparkSession, folder: str) -> DataFrame:
     """The hashed feature vectors as rows of their non-zero weights."""
     features = content.tfidf(warehouse.items(spark, folder), content.HASHED)
@@ -433,12 +447,11 @@ def stream_realtime(spark: SparkSession, folder: str) -> DataFrame:
     store = _run_store(spark)
     messages = _message_folder(warehouse.rating_messages(spark, folder), store)
     write_table(warehouse.ratings(spark, folder), store, RATING_TABLE)
-    params = Params(key_buckets=16)
-    jobs.run_lookups(spark, store, params)
+    jobs.run_lookups(spark, store)
     _content_index(spark, folder, store)
     query = recommend.start(
         file_lines(spark, messages),
-        jobs.stream_inputs(store, CONTENT_RECS, params),
+        jobs.stream_inputs(store, CONTENT_RECS),
         store,
         store.path("progress"),
         availableNow=True,
@@ -495,6 +508,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         vector_similar,
         vector_similar_top10,
         vector_cosine,
+        similar_map_lookup,
         distinct_users,
         distinct_items,
         candidate_grid_count,

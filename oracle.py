@@ -293,6 +293,10 @@ SQL = {
            GROUP BY p.vec_id, c.cls""",
     ),
     "vector_similar_top10": VECTOR_TOP,
+    "similar_map_lookup": f"""
+        WITH best AS ({VECTOR_TOP})
+        SELECT vec_id, coalesce(max(score) FILTER (sim_vec_id = vec_id + 1), 0) AS score
+        FROM best GROUP BY vec_id""",
     "vector_cosine": """
         SELECT e.vec_id, round(list_cosine_similarity(
                    CAST(e.embedding AS DOUBLE[]), CAST(f.embedding AS DOUBLE[])), 6) AS score

@@ -159,14 +159,16 @@ def index_of_pairs(pairs: DataFrame) -> SimilarityIndex:
 
 
 def recs_as_map(nested: DataFrame) -> DataFrame:
-    """``mid, recs`` lists as ``mid, scores MAP<mid, score>``; of repeated ids the last wins."""
-    last = F.filter(
-        "recs",
-        lambda r, i: ~F.exists(
-            F.slice(F.col("recs"), i + 2, F.size("recs")), lambda later: later["mid"] == r["mid"]
-        ),
+    """``mid, recs`` lists as ``mid, scores MAP<mid, score>``; of repeated ids the last wins.
+
+    Items with an empty list have no row.
+    """
+    entries = nested.select("mid", F.posexplode("recs").alias("at", "r"))
+    last = entries.groupBy("mid", F.col("r.mid").alias("other")).agg(
+        F.max_by("r.score", "at").alias("score")
     )
-    return nested.select("mid", F.map_from_entries(last).alias("scores"))
+    entry = F.struct("other", "score")
+    return last.groupBy("mid").agg(F.map_from_entries(F.collect_list(entry)).alias("scores"))
 
 
 def _rounded(score: Column, digits: int | None) -> Column:
