@@ -8,7 +8,9 @@ that fall into them. The overlap of two texts is counted per fragment and summed
 Pairs are looked for by exact bounds only. Two sets that reach the threshold share a gram
 among the first of each in the global order (prefix filter), have similar sizes, and leave
 room behind that gram for the overlap that is needed; a parity bitmap with about a bit per gram
-bounds the difference of two sets from below. Whatever passes is counted exactly.
+bounds the difference of two sets from below. The join of the gram lists compares the bitmaps
+folded to 256 bits, so that most pairs just under the threshold are never emitted; the whole
+bitmaps are compared next. Whatever passes is counted exactly.
 
 Copies and large groups: equal sets are one class, named by a 64-bit digest, and only classes
 are joined. Then, in some rounds, each class is compared with one leader of another component:
@@ -49,6 +51,8 @@ FRAGMENTS = 4
 #: Least bits of the parity bitmap. A larger set has the next power of two: with fewer bits than
 #: grams the bound would lie under what the threshold allows, and every pair would pass.
 MAP_BITS = 1024
+#: Bits of the map folded to a fixed width, which the join of gram lists compares itself.
+SKETCH_BITS = 256
 #: Rounds in which classes are compared with leaders before pairs are looked for.
 LEADER_ROUNDS = 4
 
@@ -165,8 +169,20 @@ def parity_distances(left: list[bytes], right: list[bytes]) -> np.ndarray:
     return out
 
 
+def sketch(parity: bytes) -> list[int]:
+    """The map folded to ``SKETCH_BITS``, as signed numbers of 64 bits."""
+    words = np.frombuffer(parity, np.uint64).reshape(-1, SKETCH_BITS // 64)
+    return np.bitwise_xor.reduce(words, axis=0).view(np.int64).tolist()
+
+
+def sketch_distance(x: str, y: str) -> Column:
+    """Bits in which two sketches differ: no more than the grams that only one set has."""
+    words = [F.col(x)[i].bitwiseXOR(F.col(y)[i]) for i in range(SKETCH_BITS // 64)]
+    return sum((F.bit_count(w) for w in words[1:]), F.bit_count(words[0]))
+
+
 def _signatures(docs: DataFrame, order, n: int, percent: int) -> DataFrame:
-    """``doc_id, row, n_shingles, cid, prefix, map`` of every row."""
+    """``doc_id, row, n_shingles, cid, prefix, map, sketch`` of every row."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         sizes, cids, prefixes, maps = [], [], [], []
@@ -185,12 +201,13 @@ def _signatures(docs: DataFrame, order, n: int, percent: int) -> DataFrame:
                 pa.array(cids, pa.int64()),
                 pa.ListArray.from_arrays(pa.array(limits), pa.array(flat, pa.int64())),
                 pa.array(maps, pa.binary()),
+                pa.array([sketch(m) for m in maps], pa.list_(pa.int64())),
             ],
-            ["doc_id", "row", "n_shingles", "cid", "prefix", "map"],
+            ["doc_id", "row", "n_shingles", "cid", "prefix", "map", "sketch"],
         )
 
     schema = "doc_id bigint, row bigint, n_shingles bigint, cid bigint, prefix array<bigint>, "
-    schema += "map binary"
+    schema += "map binary, sketch array<bigint>"
     return arrow_map(docs.select("doc_id", F.xxhash64("text").alias("row"), "text"), step, schema)
 
 
@@ -327,7 +344,7 @@ def classes_and_links(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tu
     order = spark.sparkContext.broadcast(global_order(docs, n))
     signed = saved(_signatures(docs, order, n, percent), f"{folder}/signatures")
     rows = signed.select("doc_id", "row", "n_shingles", "cid")
-    same = [F.first(c).alias(c) for c in ("prefix", "map")]
+    same = [F.first(c).alias(c) for c in ("prefix", "map", "sketch")]
     classes = saved(
         signed.filter("n_shingles > 0")
         .groupBy("cid")
@@ -359,11 +376,13 @@ def classes_and_links(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tu
             f"{folder}/named{step}",
         )
     open_ = named.groupBy("gram").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b")
-    across = saved(named.join(open_.select("gram"), "gram", "left_semi"), f"{folder}/across")
+    across = named.join(open_.select("gram"), "gram", "left_semi")
+    across = saved(across.join(classes.select("cid", "sketch"), "cid"), f"{folder}/across")
     # The smaller set is found by a shorter prefix.
     index = F.col("nx") - F.ceil(F.col("nx") * (2 * percent) / (100 + percent)) + 1
-    x = across.select("gram", *(F.col(c).alias(f"{a}x") for c, a in (("cid", "c"), ("n", "n"), ("pos", "p"), ("root", "r"))))
-    y = across.select("gram", *(F.col(c).alias(f"{a}y") for c, a in (("cid", "c"), ("n", "n"), ("pos", "p"), ("root", "r"))))
+    sides = {"cid": "c", "n": "n", "pos": "p", "root": "r", "sketch": "s"}
+    x = across.select("gram", *(F.col(c).alias(f"{a}x") for c, a in sides.items()))
+    y = across.select("gram", *(F.col(c).alias(f"{a}y") for c, a in sides.items()))
     need = _needed("nx", "ny", percent)
     room = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py"))
     pairs = (
@@ -374,6 +393,7 @@ def classes_and_links(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tu
             & ((F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("cx") < F.col("cy"))))
             & (100 * F.col("nx") >= percent * F.col("ny"))
             & (room >= need)
+            & (sketch_distance("sx", "sy") <= F.col("nx") + F.col("ny") - 2 * need)
         )
         .select(F.col("cx").alias("x"), F.col("cy").alias("y"))
         .distinct()

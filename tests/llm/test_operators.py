@@ -277,6 +277,22 @@ def test_parity_distance_is_a_lower_bound():
     assert len(jaccard.parity_distances([], [])) == 0
 
 
+def test_sketch_distance_is_a_lower_bound(spark):
+    rng = np.random.default_rng(11)
+    rows = []
+    for size in (1, 40, 148, 3000):
+        x = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+        for kept in (0, size // 2, size - 1, size):
+            y = np.concatenate([x[:kept], rng.integers(0, 1 << 63, size - kept, dtype=np.uint64)])
+            apart = len(np.setxor1d(x, y))
+            rows.append((apart, jaccard.sketch(jaccard.parity_map(x)), jaccard.sketch(jaccard.parity_map(y))))
+    df = spark.createDataFrame(rows, "apart long, sx array<bigint>, sy array<bigint>")
+    found = df.select("apart", jaccard.sketch_distance("sx", "sy").alias("d")).collect()
+    assert all(row.d <= row.apart for row in found)
+    assert all(row.d == 0 for row in found if row.apart == 0)
+    assert sum(row.d > 0 for row in found) > len(found) // 2
+
+
 def test_jaccard_in_a_group_of_near_copies(spark):
     draw = np.random.default_rng(5)
     base = [f"b{i}" for i in range(120)]
