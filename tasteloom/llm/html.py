@@ -2,12 +2,16 @@
 
 Markup is stripped to lines: a block element begins a new line, and what is never article
 text (scripts, styles, menus, headers, footers, sidebars, notices, adverts, forms, reader
-comments) leaves ``WINDOW`` empty lines. If the page marks an article, so does everything
-outside it. Over the lines the text lengths in a sliding window of ``WINDOW`` lines are
-summed. Where the sum rises from nothing is a surge, where it falls to nothing a dive; the
-text between is kept if the sum reaches ``SURGE`` on the way, or anyway within a marked
-article. If nothing is kept that way, the stretch with most text is. So short paragraphs and
-headings within an article stay.
+comments) leaves ``WINDOW`` empty lines. Over the lines the text lengths in a sliding window
+of ``WINDOW`` lines are summed. Where the sum rises from nothing is a surge, where it falls to
+nothing a dive; the text between is kept if the sum reaches ``SURGE`` on the way. If nothing
+is kept that way, the stretch with most text is.
+
+``article`` and ``main`` are hints. If no stretch outside them has ``STORY`` characters and
+more than each of them, what is outside is dropped and all that is inside stays, so short
+paragraphs and headings within an article do. Otherwise the marks are on cards or comments, or
+on a part of the story only: the stretches of the whole page are judged, and those with lines
+of an article of ``STORY`` characters are kept anyway.
 
 Pages are independent: one Arrow pass, no shuffle.
 
@@ -29,6 +33,8 @@ from tasteloom.llm.base import arrow_map
 WINDOW = 3
 #: Characters that a window must reach.
 SURGE = 40
+#: Characters of a stretch outside marked articles that can outweigh them.
+STORY = 2 * SURGE
 
 # HTML element names and the usual names of page parts.
 BLOCKS = frozenset(
@@ -87,18 +93,19 @@ def _is_part(name: str, more: str, in_article: bool) -> bool:
     return not PARTS.isdisjoint(re.split(r"[^a-z0-9]+", named))
 
 
-def lines_of(html: str) -> list[tuple[str, bool]]:
-    """Lines of text, each with whether it lies in a marked article; removed parts leave gaps."""
-    out: list[tuple[str, bool]] = []
+def lines_of(html: str) -> list[tuple[str, int]]:
+    """Lines of text, each with the number of the outermost marked article it lies in, or 0;
+    removed parts leave gaps."""
+    out: list[tuple[str, int]] = []
     line: list[str] = []
     stack: list[tuple[str, bool]] = []  # open elements, and whether they hide what is in them
-    hiding = articles = at = 0
+    hiding = articles = marks = at = 0
 
     def close() -> None:
         text = " ".join("".join(line).split())
         line.clear()
         if text:
-            out.append((text, articles > 0))
+            out.append((text, marks if articles else 0))
 
     def pop() -> None:
         nonlocal hiding, articles
@@ -106,7 +113,7 @@ def lines_of(html: str) -> list[tuple[str, bool]]:
         hiding -= hides
         articles -= name in ("article", "main")
         if hides and not hiding:
-            out.extend([("", False)] * WINDOW)
+            out.extend([("", 0)] * WINDOW)
 
     size = len(html)
     while at < size:
@@ -147,6 +154,7 @@ def lines_of(html: str) -> list[tuple[str, bool]]:
             close()
         stack.append((name, hides))
         hiding += hides
+        marks += name in ("article", "main") and not articles
         articles += name in ("article", "main")
     close()
     return out
@@ -171,19 +179,33 @@ def stretches(lengths: list[int]) -> list[tuple[int, int, int]]:
     return out
 
 
-def main_text(html: str | None) -> str:
-    lines = lines_of(html or "")
-    marked = any(inside for _, inside in lines)
+def _without(lines: list[tuple[str, int]], inside: bool) -> list[str]:
+    """The lines with gaps in the place of those inside, or outside, of marked articles."""
     spread: list[str] = []
-    for text, inside in lines:
-        if inside or not marked:
+    for text, mark in lines:
+        if not text or (mark > 0) != inside:
             spread.append(text)
         else:
             spread.extend([""] * WINDOW)
+    return spread
+
+
+def main_text(html: str | None) -> str:
+    lines = lines_of(html or "")
+    marked: dict[int, int] = {}
+    for text, mark in lines:
+        if mark:
+            marked[mark] = marked.get(mark, 0) + len(text)
+    spread, sure = [text for text, _ in lines], [marked.get(mark, 0) >= STORY for _, mark in lines]
+    if marked:
+        apart = [len(text) for text in _without(lines, True)]
+        outside = max((sum(apart[a:b]) for a, b, _ in stretches(apart)), default=0)
+        if outside < STORY or outside <= max(marked.values()):
+            spread = _without(lines, False)
+            sure = [True] * len(spread)
     lengths = [len(text) for text in spread]
     found = stretches(lengths)
-    least = 1 if marked else SURGE  # in a marked article every stretch is text
-    kept = [(a, b) for a, b, top in found if top >= least]
+    kept = [(a, b) for a, b, top in found if top >= SURGE or any(sure[a:b])]
     if not kept and found:
         kept = [max(((a, b) for a, b, _ in found), key=lambda s: sum(lengths[s[0] : s[1]]))]
     return " ".join(text for a, b in kept for text in spread[a:b] if text)

@@ -382,6 +382,21 @@ def test_main_text(spark):
     assert html.extract(pages.limit(0)).count() == 0
 
 
+def test_main_text_outside_of_marked_articles():
+    card = "<article><h3>Card</h3><p>Some other story, read it here as well.</p></article>"
+    paragraph = "A paragraph of the story that stands in a plain division of the page."
+    story = f"<div><h1>Head</h1>{f'<p>{paragraph}</p>' * 3}</div>"
+    whole = " ".join(["Head", *[paragraph] * 3])
+    for page in (story + card * 9, card + story, card * 9 + story + card):
+        assert whole in html.main_text(f"<body>{page}")
+    # A longer article drops what is around it, and keeps its short parts.
+    parted = f"<article><p>x</p><aside>no</aside>{f'<p>{paragraph}</p>' * 4}</article>"
+    assert html.main_text(f"<body>{parted}{story}") == " ".join(["x", *[paragraph] * 4])
+    # A shorter one stays whole beside a longer story.
+    short = f"<article><p>x</p><aside>no</aside><p>{paragraph} {paragraph}</p></article>"
+    assert html.main_text(f"<body>{short}{story}") == f"x {paragraph} {paragraph} {whole}"
+
+
 def test_archives(spark):
     pages = [(3, "u3", "same"), (1, "u1", "same"), (1, "u1", "same"), (2, None, None), (4, "a\r\nb", "é" * 9000)]
     pages += [(None, "n", "same"), (5, "e", "")] + [(10 + i, "m", f"<p>{i}</p>" * 50) for i in range(60)]
