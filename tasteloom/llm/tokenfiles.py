@@ -83,7 +83,7 @@ class Encoder:
         if core.isascii() and core.isalpha():
             # One word of the pattern: the model alone, without the pattern.
             return [t.id for t in self.model.tokenize(word.replace(" ", self.letters[32]))]
-        if core[:-1].isalpha() and core[:-1].isascii() and core[-1] in ".,":
+        if core[:-1].isalpha() and core[:-1].isascii() and core[-1] in ".," and word[-1] == core[-1]:
             word = word[:-1].replace(" ", self.letters[32])
             return [t.id for part in (word, core[-1]) for t in self.model.tokenize(part)]
         return self.tokenizer.encode(word, add_special_tokens=False).ids

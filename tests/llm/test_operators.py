@@ -163,6 +163,11 @@ def test_encoding_of_white_space(text):
     assert ids[: n[0]].tolist() == expected == ids[-n[2] :].tolist()
 
 
+@pytest.mark.parametrize("text", ["end. ", "end,  ", "a.  b", "a,  b", "end  ", "a  b", "a. b", "a, b", " a. ", "a. \nb"])
+def test_encoding_of_marks_before_spaces(text):
+    test_encoding_of_white_space(text)
+
+
 def test_quality_counts_and_outliers(docs, empty, spark):
     found = quality.assessed(docs).drop("distance", "_row")
     expected = Counter()
