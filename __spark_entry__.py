@@ -267,27 +267,27 @@ def candidate_grid_count(spark: SparkSession, folder: str) -> DataFrame:
     return factors.candidate_grid_count(warehouse.ratings(spark, folder))
 
 
-def _small_model(spark: SparkSession, folder: str):
-    return factors.train(warehouse.ratings(spark, folder), rank=8)
+def _model(spark: SparkSession, folder: str):
+    return factors.train(warehouse.ratings(spark, folder))
 
 
 def als_user_recs(spark: SparkSession, folder: str) -> DataFrame:
-    return factors.user_recs(_small_model(spark, folder))
+    return factors.user_recs(_model(spark, folder))
 
 
 def als_predictions(spark: SparkSession, folder: str) -> DataFrame:
     ratings = warehouse.ratings(spark, folder)
     pairs = factors.triples(ratings)
-    return factors.predict(factors.train(ratings, rank=8), pairs)
+    return factors.predict(factors.train(ratings), pairs)
 
 
 def als_item_similar_top20(spark: SparkSession, folder: str) -> DataFrame:
-    model = _small_model(spark, folder)
+    model = _model(spark, folder)
     return factors.item_recs(model, keep=21, store=_run_store(spark)).top(20)
 
 
 def als_grid(spark: SparkSession, folder: str) -> DataFrame:
-    return tuning.grid(warehouse.ratings(spark, folder), ranks=(4, 8), regs=(0.1, 1.0))
+    return tuning.grid(warehouse.ratings(spark, folder))
 
 
 def topk_per_user(spark: SparkSession, folder: str) -> DataFrame:
