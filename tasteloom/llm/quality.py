@@ -1,10 +1,12 @@
 """Quality rules by robust multivariate outliers, in DataFrame expressions only.
 
-Every text gets a vector of transformed statistics (``FEATURES``). For each language and
-source a minimum-covariance-determinant estimate is made: from medians and median absolute
-deviations, some concentration steps each take the share ``COVERAGE`` of the documents that
-lie closest by Mahalanobis distance and estimate centre and covariance from them. A
-document whose squared distance to the estimate passes ``CUTOFF`` is rejected.
+Every text gets a vector of transformed statistics (``FEATURES``). A minimum-covariance-
+determinant estimate is made for each language and source, each language, and the corpus: of
+three starts (medians and median absolute deviations; covariance of the values clipped around
+the medians; mean and covariance of all) each takes concentration steps, which estimate from
+the half of the documents that lie closest by Mahalanobis distance, until the determinant
+falls no more; the smallest is taken, widened by the consistency factor of a half. A document
+whose squared distance passes ``CUTOFF`` is rejected.
 
 Two rules come first: at least ``MIN_WORDS`` words, and at most half of the words in
 three-word windows that occur twice or more. Only documents that pass them enter estimates.
@@ -15,8 +17,10 @@ counts per small bin, so no group is ever sorted or gathered; a source with a th
 rows is some thousand bins. A variance never falls below ``FLOOR`` squared per feature: many
 sources have, say, no repeated line at all, and one such line is no reason to reject.
 
-Sources of a language with fewer than ``MIN_CELL`` documents are taken together; if those
-are still fewer, no estimate is made and the documents are kept.
+Every document that passes the rules is judged, however small its group: the estimate of a
+source of n documents is mixed with its language's as n to ``PRIOR``, and that one before with
+the corpus's likewise. The covariance is that of the mixture, so it has the distance of the
+centres in it.
 
 Defined cases: null or empty text has no words and fails the rules; null language or
 source is a value of its own; every row is judged by itself, repeated rows alike.
@@ -24,6 +28,9 @@ source is a value of its own; every row is judged by itself, repeated rows alike
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -32,18 +39,17 @@ from tasteloom.llm.base import saved, scratch
 
 MIN_WORDS = 50
 MAX_REPEATED = 50  # percent of the words
-MIN_CELL = 200
-COVERAGE = 0.75
-STEPS = 3
-#: Squared distance; for four normal features one document in 10^11 would pass it.
-CUTOFF = 60.0
+#: Documents that the estimate above a group counts as.
+PRIOR = 100
+#: Concentration steps at most; the determinant stops falling before.
+MOST_STEPS = 30
+#: Squared distance: 99.9 % of a chi-square distribution with four degrees of freedom.
+CUTOFF = 18.4668
 UNIT = 1000
 #: Width of a median bin, in units.
 BIN = 10
 #: Bins per doubling of a squared distance.
 DISTANCE_BINS = 64
-#: Median of a squared distance over four normal features.
-CHI2_MEDIAN = 3.3567
 FEATURES = ("f_length", "f_symbols", "f_lines", "f_repeats")
 #: Least standard deviation of the features above.
 FLOOR = (0.08, 0.25, 0.25, 0.25)
@@ -137,28 +143,37 @@ def _features() -> dict[str, Column]:
     }
 
 
-def _cells(rows: DataFrame, folder: str) -> DataFrame:
-    """``_lang, _source, cell``: which estimate judges the documents of a source, if any."""
-    by_source = saved(
-        rows.groupBy(F.col("lang").alias("_lang"), F.col("source").alias("_source")).count(),
-        f"{folder}/sources",
-    )
-    named = F.to_json(F.array("_lang", "_source"))
-    pooled = F.to_json(F.array("_lang"))
-    small = F.col("count") < MIN_CELL
-    pools = by_source.filter(small).groupBy(pooled.alias("pool")).agg(F.sum("count").alias("in_pool"))
-    joined = by_source.withColumn("pool", F.when(small, pooled)).join(pools, "pool", "left")
-    cell = F.when(~small, named).when(F.col("in_pool") >= MIN_CELL, F.col("pool"))
-    return saved(joined.select("_lang", "_source", cell.alias("cell")), f"{folder}/cells")
+def _consistency(percent: int) -> float:
+    """What widens the covariance of the closest ``percent`` of four normal features to all's."""
+    low, high = 0.0, 100.0
+    for _ in range(60):
+        x = (low + high) / 2
+        below = 1 - math.exp(-x / 2) * (1 + x / 2) < percent / 100
+        low, high = (x, high) if below else (low, x)
+    return percent / 100 / (1 - math.exp(-low / 2) * (1 + low / 2 + low * low / 8))
+
+
+def _cells() -> dict[str, Column]:
+    """The groups of a row, from the smallest to the corpus."""
+    return {
+        "of_source": F.to_json(F.array("lang", "source")),
+        "of_lang": F.to_json(F.array("lang")),
+        "of_all": F.lit("[]"),
+    }
+
 
+def _half(total: Column) -> Column:
+    """The documents that an estimate is made of: half, and more than features."""
+    return F.least(total, F.floor((total + len(FEATURES) + 1) / 2))
 
-def _limit_bins(counted: DataFrame, keys: list[str], share: float) -> DataFrame:
-    """Per key the first bin with which ``share`` of the rows are reached."""
+
+def _limit_bins(counted: DataFrame, keys: list[str], least) -> DataFrame:
+    """Per key the first bin with which ``least(rows)`` of the rows are reached."""
     order = Window.partitionBy(*keys).orderBy("bin")
     so_far = F.sum("count").over(order)
     total = F.sum("count").over(Window.partitionBy(*keys))
     reached = counted.withColumn("_so_far", so_far).withColumn("_total", total)
-    return reached.filter(F.col("_so_far") >= F.ceil(F.col("_total") * share)).groupBy(*keys).agg(
+    return reached.filter(F.col("_so_far") >= least(F.col("_total"))).groupBy(*keys).agg(
         F.min("bin").alias("bin")
     )
 
@@ -169,7 +184,7 @@ def _medians(rows: DataFrame, values: dict[str, Column]) -> DataFrame:
     counted = (
         rows.select("cell", F.inline(F.array(*each))).groupBy("cell", "name", "bin").count()
     )
-    found = _limit_bins(counted, ["cell", "name"], 0.5)
+    found = _limit_bins(counted, ["cell", "name"], lambda total: F.ceil(total / 2))
     return found.groupBy("cell").agg(
         *(F.max(F.when(F.col("name") == k, F.col("bin") * BIN + BIN // 2)).alias(k) for k in values)
     )
@@ -201,7 +216,7 @@ def _inverse(cov: dict[tuple[int, int], Column]) -> tuple[list[str], list[tuple[
 
 
 def _distance() -> Column:
-    """Squared Mahalanobis distance of a row joined with its cell's estimate."""
+    """Squared Mahalanobis distance of a row joined with an estimate."""
     centred = [F.col(name) - F.col(f"m_{i}") for i, name in enumerate(FEATURES)]
     total = F.lit(0.0)
     for i in range(len(FEATURES)):
@@ -212,77 +227,156 @@ def _distance() -> Column:
     return total
 
 
-def _start(rows: DataFrame, folder: str) -> DataFrame:
-    """Medians, and the median absolute deviations on the diagonal."""
+def _estimate(rows: DataFrame, keys: list[str], values: list[Column]) -> DataFrame:
+    """``keys``, ``_n``, centre ``m_i`` and covariance ``c_j_i``, not below the floor."""
+    n = range(len(FEATURES))
+    sums = rows.select(*keys, *(value.cast("bigint").alias(f"v_{i}") for i, value in enumerate(values)))
+    sums = sums.groupBy(*keys).agg(
+        F.count("*").alias("_n"),
+        *(F.sum(f"v_{i}").alias(f"s_{i}") for i in n),
+        *(
+            F.sum((F.col(f"v_{i}") * F.col(f"v_{j}")).cast("decimal(20,0)")).alias(f"s_{j}_{i}")
+            for i in n
+            for j in range(i + 1)
+        ),
+    )
+    for i in n:
+        sums = sums.withColumn(f"m_{i}", F.col(f"s_{i}") / F.col("_n"))
+    return sums.select(
+        *keys,
+        "_n",
+        *(f"m_{i}" for i in n),
+        *(
+            (F.col(f"s_{j}_{i}").cast("double") / F.col("_n") - F.col(f"m_{i}") * F.col(f"m_{j}")).alias(f"c_{j}_{i}")
+            for i in n
+            for j in range(i + 1)
+        ),
+    )
+
+
+def _inverted(found: DataFrame, keys: list[str], factor: Column | None = None) -> DataFrame:
+    """``keys``, ``m_i``, ``c_j_i`` times ``factor``, ``w_i_j`` and ``det``, the log of the root."""
+    n = range(len(FEATURES))
+    for i in n:
+        for j in range(i + 1):
+            value = F.col(f"c_{j}_{i}") * (F.lit(1.0) if factor is None else factor)
+            if i == j:
+                value = F.greatest(value, F.lit((FLOOR[i] * UNIT) ** 2))
+            found = found.withColumn(f"c_{j}_{i}", value)
+    names, steps = _inverse({(j, i): F.col(f"c_{j}_{i}") for i in n for j in range(i + 1)})
+    for name, value in steps:
+        found = found.withColumn(name, value)
+    det = sum((F.log(f"l_{i}_{i}") for i in n), F.lit(0.0))
+    spread = [f"c_{j}_{i}" for i in n for j in range(i + 1)]
+    return found.select(*keys, *(f"m_{i}" for i in n), *spread, *names, det.alias("det"))
+
+
+def _starts(rows: DataFrame, folder: str) -> DataFrame:
+    """Three estimates of every cell, by ``start``."""
+    n = range(len(FEATURES))
     centre = saved(_medians(rows, {name: F.col(name) for name in FEATURES}), f"{folder}/median")
     centre = centre.select("cell", *(F.col(name).alias(f"m_{i}") for i, name in enumerate(FEATURES)))
     apart = {f"d_{i}": F.abs(F.col(name) - F.col(f"m_{i}")) for i, name in enumerate(FEATURES)}
-    spread = _medians(rows.join(centre, "cell"), apart)
-    weights = {
-        f"w_{i}_{j}": 1 / F.greatest(F.col(f"d_{i}") * 1.4826, F.lit(FLOOR[i] * UNIT))
-        if i == j
-        else F.lit(0.0)
-        for i in range(len(FEATURES))
-        for j in range(i + 1)
-    }
-    return saved(
-        centre.join(spread, "cell").select(
-            "cell",
-            *(f"m_{i}" for i in range(len(FEATURES))),
-            *(value.alias(name) for name, value in weights.items()),
+    spread = saved(centre.join(_medians(rows.join(centre, "cell"), apart), "cell"), f"{folder}/spread")
+    deviations = spread.select(
+        "cell",
+        F.lit(1).cast("bigint").alias("_n"),
+        *(f"m_{i}" for i in n),
+        *(
+            (F.pow(F.col(f"d_{i}") * 1.4826, F.lit(2)) if i == j else F.lit(0.0)).alias(f"c_{j}_{i}")
+            for i in n
+            for j in range(i + 1)
         ),
-        f"{folder}/start",
     )
+    reach = [F.greatest(F.col(f"d_{i}") * 3, F.lit(round(2 * FLOOR[i] * UNIT))) for i in n]
+    clipped = [
+        F.greatest(F.least(F.col(FEATURES[i]), F.col(f"m_{i}") + reach[i]), F.col(f"m_{i}") - reach[i]) for i in n
+    ]
+    found = [
+        deviations,
+        _estimate(rows.join(spread, "cell"), ["cell"], clipped),
+        _estimate(rows, ["cell"], [F.col(name) for name in FEATURES]),
+    ]
+    each = [_inverted(one.withColumn("start", F.lit(k)), ["cell", "start"]) for k, one in enumerate(found)]
+    return saved(each[0].unionByName(each[1]).unionByName(each[2]), f"{folder}/start")
 
 
-def _bins(rows: DataFrame, estimate: DataFrame) -> DataFrame:
+def _concentrated(rows: DataFrame, estimate: DataFrame, path: str) -> DataFrame:
+    """Centre and covariance of the closest half of every cell, for each of its starts."""
+    keys = ["cell", "start"]
     bin_ = F.floor(F.log2(1 + _distance()) * DISTANCE_BINS).cast("bigint")
-    return rows.join(estimate, "cell").select("cell", *FEATURES, bin_.alias("bin"))
+    near = rows.join(estimate, "cell").select(*keys, *FEATURES, bin_.alias("bin"))
+    counted = saved(near.groupBy(*keys, "bin").count(), f"{path}-bins")
+    limits = _limit_bins(counted, keys, _half).withColumnRenamed("bin", "_limit")
+    totals = counted.groupBy(*keys).agg(F.sum("count").alias("_total"))
+    limits = saved(limits.join(totals, keys), f"{path}-limits")
+    inside = near.join(limits, keys).filter("bin <= _limit")
+    found = _estimate(inside, [*keys, "_total"], [F.col(name) for name in FEATURES])
+    # Tied documents can make the half larger.
+    percent = F.floor(100 * F.col("_n") / F.col("_total")).cast("int")
+    factors = F.array(F.lit(1.0), *(F.lit(_consistency(k)) for k in range(1, 100)), F.lit(1.0))
+    found = saved(found.withColumn("_factor", F.get(factors, percent)), f"{path}-found")
+    return saved(_inverted(found, [*keys, "_total"], F.col("_factor")), path)
 
 
-def _concentrated(rows: DataFrame, estimate: DataFrame, path: str) -> DataFrame:
-    """Centre and covariance of the closest documents of every cell."""
-    near = _bins(rows, estimate)
-    limits = saved(
-        _limit_bins(near.groupBy("cell", "bin").count(), ["cell"], COVERAGE), f"{path}-limits"
-    ).withColumnRenamed("bin", "_limit")
-    inside = near.join(limits, "cell").filter("bin <= _limit")
+def estimates(rows: DataFrame, folder: str) -> DataFrame:
+    """``cell``, ``_total`` documents, centre ``m_i`` and covariance ``c_j_i`` of every cell."""
+    active, steps = _starts(rows, folder), []
+    for step in range(MOST_STEPS):
+        found = _concentrated(rows, active, f"{folder}/step{step}")
+        steps.append(found)
+        if step:
+            before = active.select("cell", "start", F.col("det").alias("_before"))
+            falling = found.join(before, ["cell", "start"]).filter(F.col("det") < F.col("_before") - 1e-6)
+            found = falling.drop("_before")
+        if found.isEmpty():
+            break
+        active = found
+    every = reduce(DataFrame.unionByName, steps)
+    best = Window.partitionBy("cell").orderBy("det", "start", *(f"m_{i}" for i in range(len(FEATURES))))
+    chosen = every.withColumn("_nth", F.row_number().over(best)).filter("_nth = 1")
+    names = [name for name in every.columns if name[:2] in ("m_", "c_")]
+    return saved(chosen.select("cell", "_total", *names), f"{folder}/cells")
+
+
+def _mixed(groups: DataFrame, own: DataFrame, cell: str) -> DataFrame:
+    """The estimates ``m_i, c_j_i`` of ``groups`` mixed with those of their ``cell``."""
     n = range(len(FEATURES))
-    sums = inside.groupBy("cell").agg(
-        F.count("*").alias("_n"),
-        *(F.sum(FEATURES[i]).alias(f"s_{i}") for i in n),
+    names = [name for name in own.columns if name[:2] in ("m_", "c_")]
+    mine = own.select(F.col("cell").alias(cell), "_total", *(F.col(name).alias(f"_{name}") for name in names))
+    joined = groups.join(mine, cell)
+    share = F.col("_total") / (F.col("_total") + PRIOR)
+
+    def between(name: str) -> Column:
+        return share * F.col(f"_{name}") + (1 - share) * F.col(name)
+
+    def apart(i: int) -> Column:
+        return F.col(f"_m_{i}") - F.col(f"m_{i}")
+
+    return joined.select(
+        *(name for name in groups.columns if name not in names),
+        *(between(f"m_{i}").alias(f"m_{i}") for i in n),
         *(
-            F.sum((F.col(FEATURES[i]) * F.col(FEATURES[j])).cast("decimal(20,0)")).alias(f"s_{j}_{i}")
+            (between(f"c_{j}_{i}") + share * (1 - share) * apart(i) * apart(j)).alias(f"c_{j}_{i}")
             for i in n
             for j in range(i + 1)
         ),
     )
-    for i in n:
-        sums = sums.withColumn(f"m_{i}", F.col(f"s_{i}") / F.col("_n"))
-    cov = {
-        (j, i): F.col(f"s_{j}_{i}").cast("double") / F.col("_n") - F.col(f"m_{i}") * F.col(f"m_{j}")
-        for i in n
-        for j in range(i + 1)
-    }
-    # What is cut off makes the near ones too narrow; widened below by the median distance.
-    for i in n:
-        cov[i, i] = F.greatest(cov[i, i], F.lit((FLOOR[i] * UNIT) ** 2))
-    names, steps = _inverse(cov)
-    for name, value in steps:
-        sums = sums.withColumn(name, value)
-    return saved(sums.select("cell", *(f"m_{i}" for i in n), *names), path)
 
 
-def estimates(rows: DataFrame, folder: str) -> DataFrame:
-    """``cell``, centre ``m_i``, inverted Cholesky rows ``w_i_j`` and the distance ``scale``."""
-    found = _start(rows, folder)
-    for step in range(STEPS):
-        found = _concentrated(rows, found, f"{folder}/step{step}")
-    middle = _limit_bins(
-        _bins(rows, found).groupBy("cell", "bin").count(), ["cell"], 0.5
-    ).select("cell", ((F.pow(F.lit(2.0), (F.col("bin") + 1) / DISTANCE_BINS) - 1) / CHI2_MEDIAN).alias("_s"))
-    scaled = found.join(middle, "cell").withColumn("scale", F.greatest("_s", F.lit(1.0))).drop("_s")
-    return saved(scaled, f"{folder}/estimates")
+def _by_source(good: DataFrame, folder: str) -> DataFrame:
+    """``of_source`` and the mixed estimate, as ``m_i`` and ``w_i_j``."""
+    cells = _cells()
+    rows = saved(
+        good.select(F.explode(F.array(*cells.values())).alias("cell"), *FEATURES), f"{folder}/features"
+    )
+    own = estimates(rows, folder)
+    groups = good.select(*(value.alias(name) for name, value in cells.items())).distinct()
+    whole = own.drop("_total").withColumnRenamed("cell", "of_all")
+    mixed = groups.join(whole, "of_all")
+    for cell in ("of_lang", "of_source"):
+        mixed = _mixed(mixed, own, cell)
+    return saved(_inverted(mixed, ["of_source"]).drop("det"), f"{folder}/estimates")
 
 
 def assessed(docs: DataFrame) -> DataFrame:
@@ -295,21 +389,10 @@ def assessed(docs: DataFrame) -> DataFrame:
         "_row": F.xxhash64("text", "lang", "source"),
     }
     counted = saved(statistics(docs, keep), f"{folder}/counts")
-    features = _features()
-    good = counted.filter(~F.col("base_failed"))
-    cells = _cells(good, folder)
-    placed = counted.withColumns(features).join(
-        cells,
-        F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")),
-        "left",
-    )
-    judged = saved(
-        placed.filter(~F.col("base_failed") & F.col("cell").isNotNull()).select("cell", *FEATURES),
-        f"{folder}/features",
-    )
-    found = estimates(judged, folder)
-    distance = _distance() / F.col("scale")
-    return placed.join(found, "cell", "left").select(
+    placed = counted.withColumns(_features()).withColumn("of_source", _cells()["of_source"])
+    found = _by_source(placed.filter(~F.col("base_failed")), folder)
+    distance = _distance()
+    return placed.join(found, "of_source", "left").select(
         "doc_id",
         "n_words",
         "word_chars",

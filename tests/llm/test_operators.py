@@ -192,6 +192,25 @@ def test_quality_counts_and_outliers(docs, empty, spark):
     assert {r[0] for r in kept.select("doc_id").collect()} == set(range(400))
 
 
+def test_quality_with_a_third_of_junk_and_in_small_groups(spark):
+    draw = np.random.default_rng(4)
+
+    def texts(first, n, form, lang, source):
+        made = (" ".join(form.format(k) for k in draw.integers(0, 9999, 90)) for _ in range(n))
+        return [(first + i, text, lang, source) for i, text in enumerate(made)]
+
+    table = texts(0, 400, "word{}", "en", "a") + texts(1000, 200, "w{}###", "en", "a")
+    # A source and a language of their own with twelve documents, and one with a single one.
+    table += texts(2000, 11, "word{}", "xx", "b") + texts(3000, 1, "w{}###", "xx", "b")
+    table += texts(4000, 1, "w{}###", "yy", None) + texts(2100, 1, "word{}", "zz", "c")
+    # Fourteen symbols per hundred words, in a source that has none.
+    table += [(5000, " ".join(f"word{k}" + "#" * (i % 7 == 0) for i, k in enumerate(draw.integers(0, 9999, 90))), "en", "a")]
+    docs = spark.createDataFrame(table, "doc_id long, text string, lang string, source string")
+    found = quality.assessed(docs).collect()
+    assert all(r["distance"] is not None for r in found)
+    assert {r["doc_id"] for r in found if r["kept"]} == {*range(400), *range(2000, 2011), 2100}
+
+
 def test_license_scan(docs, empty, spark):
     text = licenses.TEMPLATES[3].text
     changed = text.replace("free of charge", "free of any charge").replace("merge, ", "")
