@@ -3,8 +3,8 @@
 Every file is a series of Zstandard frames. The first is a skippable frame that holds the
 file's dictionary; each record after it is a frame of its own, compressed with that
 dictionary, so a record can be read by its offset alone. The dictionary is trained on
-records of the same file, ``TRAIN_BYTES`` of them at most, taken evenly from the file; it
-changes only the size of the file.
+records of the same file, ``TRAIN_BYTES`` of them at most, taken evenly from the first
+``HEAD_BYTES`` of it; it changes only the size of the file.
 
 Records with equal payloads: the one with the smallest page id is a response, the others
 revisit it. Payloads meet by their SHA-1 alone: pages do not gather anywhere, however many
