@@ -12,10 +12,13 @@ from tasteloom.llm import (
     jaccard,
     licenses,
     linededup,
+    merkle,
     mixing,
+    neardup,
     quality,
     substrings,
     tokenfiles,
+    trie,
     warc,
 )
 
@@ -87,6 +90,19 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_embedding_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, folder, "embeddings"))
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.build(table(spark, folder, "documents"), merkle.without_breaks()).report()
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations")
+    return trie.trie(trie.rebuilt(trie.sequences(turns)))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -105,6 +121,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_substring_dedup,
         op9_main_text,
         op10_warc,
+        op11_embedding_neardup,
+        op12_merkle_manifest,
+        op13_prefix_trie,
         pipeline,
     ]
     return {query.__name__: query for query in found}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from tasteloom.llm.sql_manifest import manifest
+from tasteloom.llm.sql_trie import trie
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACED = r"'[^\x20\x09-\x0D]+'"
 ALPHANUMERIC = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
@@ -184,6 +187,29 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM (SELECT *, min(page_id) OVER (PARTITION BY s) AS first FROM named)
 """
 
+#: Every pair of a label; near copies are few, so the components are walked from each id.
+EMBEDDINGS = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach AS (
+  SELECT vec_id, vec_id AS r FROM embeddings
+  UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON links.a = reach.r
+), roots AS (
+  SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id
+), sums AS (
+  SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN roots USING (vec_id) LEFT JOIN sums USING (vec_id)
+"""
+
 SQL: dict[str, str] = {
     "op1_line_dedup": LINES,
     "op2_decontamination": CONTAMINATION,
@@ -192,4 +218,7 @@ SQL: dict[str, str] = {
     "op8_substring_dedup": SUBSTRINGS,
     "op9_main_text": MAIN_TEXT,
     "op10_warc": ARCHIVES,
+    "op11_embedding_neardup": EMBEDDINGS,
+    "op12_merkle_manifest": manifest(),
+    "op13_prefix_trie": trie(),
 }
