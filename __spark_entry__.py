@@ -10,12 +10,14 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.ml.functions import vector_to_array  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
 
 from tasteloom.functions import cosine, score_in  # noqa: E402
 from tasteloom.operators import content, factors, realtime, statistics, tags, tuning  # noqa: E402
@@ -28,18 +30,22 @@ from tasteloom.operators.similarity import (  # noqa: E402
 )
 from tasteloom.plans import jobs  # noqa: E402
 from tasteloom.plans.session import checkpoint_folder  # noqa: E402
-from tasteloom.schemas import CONTENT_RECS, RATING, RATING_TABLE  # noqa: E402
+from tasteloom.schemas import RATING, RATING_TABLE, SEARCH_TABLE  # noqa: E402
 from tasteloom.sources import text, warehouse  # noqa: E402
 from tasteloom.sources.streams import file_lines  # noqa: E402
 from tasteloom.sources.tables import (  # noqa: E402
     Store,
+    latest,
     latest_of,
+    merge_batches,
     one_per_key,
     read_table,
     settled,
+    upsert_batches,
+    write_keyed,
     write_table,
 )
-from tasteloom.streaming import logs, recommend  # noqa: E402
+from tasteloom.streaming import logs, recommend, state  # noqa: E402
 
 # The training-data operators are an optional part.
 try:
@@ -441,17 +447,16 @@ def stream_log_ratings(spark: SparkSession, folder: str) -> DataFrame:
 def stream_realtime(spark: SparkSession, folder: str) -> DataFrame:
     """The scoring stream over all rating messages, read back as the latest lists.
 
-    The content similarity, the rated items and the recent ratings are stored first, as
-    the batch jobs do, and looked up by every batch.
+    The content similarity, the rated items and the recent ratings are published first as
+    one snapshot, and looked up by key in every batch.
     """
     store = _run_store(spark)
     messages = _message_folder(warehouse.rating_messages(spark, folder), store)
     write_table(warehouse.ratings(spark, folder), store, RATING_TABLE)
-    jobs.run_lookups(spark, store)
-    _content_index(spark, folder, store)
+    jobs.publish_lookups(spark, store, _content_index(spark, folder, store))
     query = recommend.start(
         file_lines(spark, messages),
-        jobs.stream_inputs(store, CONTENT_RECS),
+        jobs.snapshot_inputs(store),
         store,
         store.path("progress"),
         availableNow=True,
@@ -476,6 +481,91 @@ def stream_recent_state(spark: SparkSession, folder: str) -> DataFrame:
     return recommend.recent_now(spark, store)
 
 
+def stream_recent_in_state(spark: SparkSession, folder: str) -> DataFrame:
+    """The same ratings held in the stream's state store, over several batches of messages."""
+    store = _run_store(spark)
+    path = store.path("messages")
+    warehouse.rating_messages(spark, folder).repartition(4).write.text(path)
+    query = state.keep_recent_in_stream(
+        file_lines(spark, path, maxFilesPerTrigger="1"),
+        recent(warehouse.ratings(spark, folder)),
+        store,
+        store.path("progress"),
+        availableNow=True,
+    )
+    query.awaitTermination()
+    return recommend.recent_now(spark, store)
+
+
+def stream_realtime_in_state(spark: SparkSession, folder: str) -> DataFrame:
+    """The scoring stream with its recents in the state store, read back as the latest lists."""
+    store = _run_store(spark)
+    messages = _message_folder(warehouse.rating_messages(spark, folder), store)
+    ratings = warehouse.ratings(spark, folder)
+    write_table(ratings, store, RATING_TABLE)
+    jobs.publish_lookups(spark, store, _content_index(spark, folder, store))
+    query = state.start_in_stream(
+        file_lines(spark, messages),
+        jobs.snapshot_inputs(store),
+        recent(ratings),
+        store,
+        store.path("progress"),
+        availableNow=True,
+    )
+    query.awaitTermination()
+    lists = recommend.latest_recs(spark, store)
+    return _final_scores(lists.select("uid", F.inline("recs")))
+
+
+def replaced_under_reader(spark: SparkSession, folder: str) -> DataFrame:
+    """A table replaced twice while an earlier reader has yet to finish: what each one sees."""
+    store = replace(_run_store(spark), versioned=True)
+    ratings = warehouse.ratings(spark, folder)
+    write_table(ratings, store, RATING_TABLE)
+    early = read_table(spark, store, RATING_TABLE, RATING)
+    write_table(ratings.filter("score >= 3"), store, RATING_TABLE, ["uid", "mid"])
+    write_table(ratings.filter("score < 3"), store, RATING_TABLE)
+    late = read_table(spark, store, RATING_TABLE, RATING)
+    sums = [F.count("*").alias("n"), F.sum("score").alias("score_sum")]
+    return early.agg(F.lit("early").alias("reader"), *sums).union(
+        late.agg(F.lit("late").alias("reader"), *sums)
+    )
+
+
+def merged_user_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily batches upserted and merged every few of them; then the newest row of each user."""
+    store = _run_store(spark)
+    daily = one_per_key(
+        warehouse.rating_events(spark, folder).withColumn(
+            "batch_id", F.floor(F.col("timestamp") / 86400)
+        ),
+        ["uid", "batch_id"],
+        [F.desc("timestamp"), F.asc("mid"), F.desc("score")],
+    )
+    fields = [f for f in RATING.fields if f.name != "uid"]
+    schema = T.StructType([RATING["uid"], *fields, T.StructField("day", T.LongType())])
+    rows = settled(daily.withColumn("day", F.col("batch_id")), store, "Daily")
+    low, high = rows.agg(F.min("day"), F.max("day")).first()
+    cuts = [low + (high + 1 - low) * i // 4 for i in range(5)]
+    for first, end in zip(cuts, cuts[1:]):
+        part = rows.filter((F.col("day") >= first) & (F.col("day") < end))
+        upsert_batches(part, store, "Events")
+        merge_batches(spark, store, "Events", schema, "uid", before=end - 1)
+    found = latest(spark, store, "Events", schema, "uid")
+    return found.withColumnRenamed("day", "batch_id")
+
+
+def keyed_document_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The keyed search table written over an earlier one and read back."""
+    store = replace(_run_store(spark), versioned=True)
+    found = tags.items_with_tags(warehouse.items(spark, folder), warehouse.tags(spark, folder))
+    earlier = found.withColumn("name", F.lit("earlier"))
+    write_keyed(earlier, store, SEARCH_TABLE, "mid", ["name"])
+    later = found.unionByName(found.withColumn("name", F.concat("name", F.lit("~"))))
+    write_keyed(later, store, SEARCH_TABLE, "mid", ["name"])
+    return read_table(spark, store, SEARCH_TABLE, found.schema)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The best rated items of every category."""
     return genres_top(spark, "/root/testdata/sf0.001")
@@ -533,6 +623,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         stream_log_ratings,
         stream_realtime,
         stream_recent_state,
+        stream_recent_in_state,
+        stream_realtime_in_state,
+        replaced_under_reader,
+        merged_user_events,
+        keyed_document_table,
     ]
     named = {query.__name__: query for query in found}
     named["sql_rate_more_items"] = _statistic_by_sql("rate_more")

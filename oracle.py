@@ -361,4 +361,13 @@ SQL = {
            QUALIFY row_number() OVER (
                PARTITION BY uid ORDER BY timestamp DESC, mid, score DESC) = 1""",
     ),
+    "replaced_under_reader": _with(
+        "ratings",
+        """SELECT 'early' AS reader, count(*) AS n, sum(score) AS score_sum FROM ratings
+           UNION ALL SELECT 'late', count(*), sum(score) FROM ratings WHERE score < 3""",
+    ),
 }
+SQL["stream_recent_in_state"] = SQL["stream_recent_state"]
+SQL["stream_realtime_in_state"] = SQL["stream_realtime"]
+SQL["merged_user_events"] = SQL["latest_user_events"]
+SQL["keyed_document_table"] = SQL["items_with_tags"]

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,22 @@ class SimilarityIndex:
             settled(self.links, store, f"{name}Links"),
         )
 
+    def members_of(self, items: DataFrame) -> DataFrame:
+        """At least the members rows of the given ``mid``; here all, the join picks them."""
+        return self.members
+
+    def members_in(self, classes: DataFrame) -> DataFrame:
+        """At least the members of the given ``cls``."""
+        return self.members
+
+    def links_of(self, classes: DataFrame) -> DataFrame:
+        """At least the links of the given ``cls``."""
+        return self.links
+
+    def above(self, score: float) -> SimilarityIndex:
+        """The index without links of ``score`` or less."""
+        return replace(self, links=self.links.filter(F.col("score") > score))
+
     def _others(self) -> Column:
         """Items that a link leads to: an item is not similar to itself."""
         return F.col("n") - (F.col("cls") == F.col("sim_cls")).cast("int")
@@ -125,15 +141,14 @@ class SimilarityIndex:
 
     def lookup(self, pairs: DataFrame, left: str, right: str) -> DataFrame:
         """The pairs that are in the index, with their ``score``, in this direction."""
-        own = self.members.select(F.col("mid").alias(left), F.col("cls"))
-        other = self.members.select(F.col("mid").alias(right), F.col("cls").alias("sim_cls"))
-        return (
-            pairs.filter(F.col(left) != F.col(right))
-            .join(own, left)
-            .join(other, right)
-            .join(self.links.drop("n"), ["cls", "sim_cls"])
-            .drop("cls", "sim_cls")
+        wanted = [pairs.select(F.col(side).alias("mid")) for side in (left, right)]
+        own = self.members_of(wanted[0]).select(F.col("mid").alias(left), F.col("cls"))
+        other = self.members_of(wanted[1]).select(
+            F.col("mid").alias(right), F.col("cls").alias("sim_cls")
         )
+        placed = pairs.filter(F.col(left) != F.col(right)).join(own, left).join(other, right)
+        links = self.links_of(placed.select("cls")).drop("n")
+        return placed.join(links, ["cls", "sim_cls"]).drop("cls", "sim_cls")
 
 
 PART_ITEMS = 1 << 16

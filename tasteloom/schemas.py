@@ -156,6 +156,9 @@ class Params:
     rating_topic: str = "recommender"
     seed: int = 42
     key_buckets: int = 256
+    # Rows that a look-up in a snapshot reads at most for a key, and the limit of that.
+    bucket_rows: int = 50_000
+    most_buckets: int = 4096
     # Blocks of the factor model. They decide its start values, so the number is fixed: the
     # same data and seed give the same model on every cluster. Raise it with the data.
     als_blocks: int = 10

@@ -101,18 +101,3 @@ def test_other_formats_take_the_name_as_an_option(spark, tmp_path):
     assert tables.read_table(spark, by_option, target, RATING).count() == 5
 
 
-def test_literal_rows(spark):
-    df = tables.literal_rows(spark, ["Action", "War"], "genre")
-    assert df.schema == T.StructType([T.StructField("genre", T.StringType(), True)])
-    assert rows(df, "genre") == [("Action",), ("War",)]
-
-
-def test_lookup_reads_the_buckets_of_its_keys_only(spark, store):
-    tables.write_by_key(ratings(spark), store, "ByUser", "uid", 16)
-    keys = spark.createDataFrame([(1, 0), (7, 0), (1000, 0)], "uid int, x int")
-    got = tables.read_by_key(spark, store, "ByUser", RATING, keys, "uid", 16)
-    columns = RATING.fieldNames()
-    assert rows(got, *columns) == rows(ratings(spark).filter("uid in (1, 7)"), *columns)
-    plan = plan_of(got)
-    partitions = plan[plan.index("PartitionFilters") :].split("]")[0]
-    assert "bucket" in partitions
