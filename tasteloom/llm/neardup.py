@@ -1,7 +1,7 @@
 """Near duplicates among embeddings: cross-polytope hashing with several probes.
 
 A vector is rotated by three rounds of random signs and a fast Hadamard transform; its
-hash is the axis, with sign, that it then lies closest to. Two such hashes make a bucket.
+hash is the axis, with sign, that it then lies closest to. Three such hashes make a bucket.
 Each vector is filed in its own bucket of every table and probes the next likely ones, so
 two vectors meet where one's own bucket is among the other's. Pairs that meet are compared
 in double precision; a pair that meets in several buckets counts in the first of them.
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
@@ -28,9 +29,10 @@ from tasteloom.llm.components import components
 
 THRESHOLD = 0.93
 #: Tables, hashes in a bucket's name and buckets looked up in each table. For vectors of 64
-#: numbers at a cosine of 0.93 two meet in a table with probability 0.72, in any with 0.998.
-TABLES = 5
-HASHES = 2
+#: numbers at a cosine of 0.93 two meet in a table with probability 0.48, in any with 0.994;
+#: a table has 128**3 buckets then, so that few unrelated vectors meet.
+TABLES = 8
+HASHES = 3
 PROBES = 4
 #: Axes that a probe may take instead of the closest one.
 NEXT_AXES = 4
@@ -161,42 +163,93 @@ def meets_first(
     return first
 
 
+@dataclass
+class _Rows:
+    """Rows of many products, in the order of their keys."""
+
+    keys: np.ndarray
+    cls: np.ndarray
+    n: np.ndarray
+    own: np.ndarray
+    block: np.ndarray
+    vectors: np.ndarray
+    names: np.ndarray
+
+    @staticmethod
+    def of(table: pa.Table, dim: int) -> _Rows:
+        def numbers(name: str) -> np.ndarray:
+            return table.column(name).to_numpy()
+
+        label = table.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
+        keys = np.stack([label, *(numbers(k) for k in _KEYS[2:])], 1)
+        vectors = unit(_matrix(table.column("vec").combine_chunks(), dim))
+        codes_ = table.column("codes").combine_chunks()
+        names = _matrix(codes_, len(codes_[0]))
+        parts = (numbers(c) for c in ("cls", "n", "own", "block"))
+        return _Rows(keys, *parts, vectors, names)
+
+
+_KEYS = ["label", "dim", "table", "code", "low", "high"]
+
+
+def _product(rows: _Rows, at: slice, threshold: float, probes: int):
+    """``cls, links, other`` of a product's linked rows; each row is in one of two blocks."""
+    _, table, code, low, high = rows.keys[at.start].tolist()
+    cls, n, own, block = rows.cls[at], rows.n[at], rows.own[at], rows.block[at]
+    vectors, names = rows.vectors[at], rows.names[at]
+    left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+    links, sets = np.zeros(len(cls), np.int64), _Sets(len(cls))
+    for start in range(0, len(left), STRIP):
+        some = left[start : start + STRIP]
+        close = vectors[some] @ vectors[right].T >= threshold
+        close &= own[some][:, None] | own[right][None, :]
+        i, j = np.nonzero(close)
+        i, j = some[i], right[j]
+        if low == high:
+            ordered = i < j
+            i, j = i[ordered], j[ordered]
+        for first in range(0, len(i), PAIRS):
+            x, y = i[first : first + PAIRS], j[first : first + PAIRS]
+            here = meets_first(names[x], names[y], table, code, probes)
+            x, y = x[here], y[here]
+            links += np.bincount(x, n[y], len(cls)).astype(np.int64)
+            links += np.bincount(y, n[x], len(cls)).astype(np.int64)
+            sets.join(x, y)
+    linked = np.flatnonzero(links)
+    return cls[linked], links[linked], cls[sets.parent[linked]]
+
+
 def _compared(threshold: float, probes: int):
-    """One product of two blocks (or one with itself): ``cls, links, other`` of linked rows."""
-
-    def run(
-        key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
-    ) -> Iterator[pa.RecordBatch]:
-        _, dim, table, code, low, high = (k.as_py() for k in key)
-        rows = pa.Table.from_batches(list(batches)).combine_chunks()
-        block = rows.column("block").to_numpy()
-        cls, n = rows.column("cls").to_numpy(), rows.column("n").to_numpy()
-        own = rows.column("own").to_numpy(zero_copy_only=False).astype(bool)
-        vectors = unit(_matrix(rows.column("vec").combine_chunks(), dim))
-        listed = rows.column("codes").combine_chunks()
-        names = _matrix(listed, len(listed[0]))
-        left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
-        links, sets = np.zeros(len(cls), np.int64), _Sets(len(cls))
-        for start in range(0, len(left), STRIP):
-            some = left[start : start + STRIP]
-            close = vectors[some] @ vectors[right].T >= threshold
-            close &= own[some][:, None] | own[right][None, :]
-            i, j = np.nonzero(close)
-            i, j = some[i], right[j]
-            if low == high:
-                i, j = i[i < j], j[i < j]
-            for at in range(0, len(i), PAIRS):
-                x, y = i[at : at + PAIRS], j[at : at + PAIRS]
-                here = meets_first(names[x], names[y], table, code, probes)
-                x, y = x[here], y[here]
-                links += np.bincount(x, n[y], len(cls)).astype(np.int64)
-                links += np.bincount(y, n[x], len(cls)).astype(np.int64)
-                sets.join(x, y)
-        linked = np.flatnonzero(links)
-        yield pa.record_batch(
-            [pa.array(cls[linked]), pa.array(links[linked]), pa.array(cls[sets.parent[linked]])],
-            ["cls", "links", "other"],
-        )
+    """All products of a partition that is sorted by their keys, a batch of rows at a time."""
+
+    def products(table: pa.Table, whole: bool) -> tuple[pa.RecordBatch, pa.Table]:
+        """The products of a table; its last one may go on, so it is left unless ``whole``."""
+        dims = table.column("dim").to_numpy()
+        found, begin = [], 0
+        for end in [*(np.flatnonzero(np.diff(dims)) + 1).tolist(), len(dims)]:
+            rows = _Rows.of(table.slice(begin, end - begin), int(dims[begin]))
+            edges = (np.flatnonzero((rows.keys[1:] != rows.keys[:-1]).any(1)) + 1).tolist()
+            edges = [0, *edges, end - begin]
+            last = end == len(dims) and not whole
+            for at, to in zip(edges, edges[1:-1] if last else edges[1:]):
+                found.append(_product(rows, slice(at, to), threshold, probes))
+            begin += edges[-2] if last else edges[-1]
+        columns = [np.concatenate(c) if found else [] for c in zip(*found)] or [[], [], []]
+        out = pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["cls", "links", "other"])
+        return out, table.slice(begin)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if not table.num_rows:
+                continue
+            if rest is not None:
+                table = pa.concat_tables([rest, table]).combine_chunks()
+            out, rest = products(table, whole=False)
+            yield out
+        if rest is not None:
+            yield products(rest, whole=True)[0]
 
     return run
 
@@ -226,37 +279,34 @@ def links(
     """``cls, links, other`` of ``cls, label, vec, n`` rows: sums over the pairs that each
     product found first, and a member of the same component for each."""
     folder = folder or scratch(classes.sparkSession, "neardup")
-    key = ["label", "dim", "table", "code"]
     sized = classes.select("cls", "label", "n", "vec", F.size("vec").alias("dim"))
     kinds = ", ".join(f"{name} {kind}" for name, kind in sized.dtypes)
     coded = saved(
         sized.mapInArrow(_coded(tables, hashes, probes), f"{kinds}, codes array<bigint>"),
         f"{folder}/coded",
     )
+    table = F.floor(F.col("at") / probes).cast("int")
     filed = coded.select("cls", "label", "dim", F.posexplode("codes").alias("at", "code")).select(
         "cls",
-        "label",
-        "dim",
-        F.floor(F.col("at") / probes).cast("int").alias("table"),
-        "code",
-        (F.col("at") % probes == 0).alias("own"),
+        "at",
+        # A short name for counting who meets whom; products go by the bucket itself.
+        F.xxhash64("label", "dim", table, "code").alias("bucket"),
     )
+    own = F.col("at") % probes == 0
     # Only buckets with a vector of their own and another one hold pairs.
     met = saved(
-        filed.groupBy(*key)
-        .agg(F.count("*").alias("size"), F.count_if("own").alias("owned"))
+        filed.groupBy("bucket")
+        .agg(F.count("*").alias("size"), F.count_if(own).alias("owned"))
         .filter("owned > 0 AND size > 1")
         .drop("owned"),
         f"{folder}/met",
     )
     blocks = F.ceil(F.col("size") / block).cast("int")
     placed = saved(
-        filed.join(met, key)
-        .withColumn("blocks", blocks)
-        .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
-        .drop("size"),
+        filed.join(met, "bucket").select("cls", "at", own.alias("own"), blocks.alias("blocks")),
         f"{folder}/placed",
     )
+    place = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
     tiles = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda other: F.struct(
@@ -264,11 +314,15 @@ def links(
         ),
     )
     work = (
-        placed.join(coded.select("cls", "n", "vec", "codes"), "cls")
-        .select(*key, "cls", "own", "block", "n", "vec", "codes", F.inline(tiles))
+        placed.join(coded, "cls")
+        .withColumns(
+            {"table": table, "code": F.get("codes", F.col("at")), "block": place}
+        )
+        .select("cls", "n", "own", "block", "vec", "codes", *_KEYS[:4], F.inline(tiles))
     )
+    ordered = work.repartition(*_KEYS).sortWithinPartitions(*_KEYS)
     return saved(
-        work.groupBy(*key, "low", "high").applyInArrow(
+        ordered.mapInArrow(
             _compared(threshold, probes), "cls bigint, links bigint, other bigint"
         ),
         f"{folder}/found",
