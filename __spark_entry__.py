@@ -32,7 +32,8 @@ from tasteloom.plans import jobs  # noqa: E402
 from tasteloom.plans.session import checkpoint_folder  # noqa: E402
 from tasteloom.schemas import RATING, RATING_TABLE, SEARCH_TABLE  # noqa: E402
 from tasteloom.sources import text, warehouse  # noqa: E402
-from tasteloom.sources.streams import file_lines  # noqa: E402
+from tasteloom.sources.colocated import write_colocated  # noqa: E402
+from tasteloom.sources.streams import FolderSink, file_lines  # noqa: E402
 from tasteloom.sources.tables import (  # noqa: E402
     Store,
     latest,
@@ -56,6 +57,7 @@ except ImportError:
 
 DIGITS = 6
 VECTOR_THRESHOLD = 0.3
+COLOCATED_BUCKETS = 8
 
 
 def _rounded(name: str):
@@ -160,6 +162,16 @@ def stored_ratings(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, store, "ratings", RATING)
 
 
+def colocated_item_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Ratings and items in the same buckets of the item, joined and summed without a shuffle."""
+    store = _run_store(spark)
+    ratings, found = warehouse.ratings(spark, folder), warehouse.items(spark, folder)
+    left = write_colocated(ratings, store, "ratings_by_item", "mid", COLOCATED_BUCKETS)
+    right = write_colocated(found, store, "items_by_item", "mid", COLOCATED_BUCKETS)
+    sums = [F.count("score").alias("n"), F.sum("score").alias("score_sum")]
+    return right.join(left.drop("uid"), "mid", "left").groupBy("mid", "name").agg(*sums)
+
+
 def keyed_tags(spark: SparkSession, folder: str) -> DataFrame:
     """One document per item: its newest tag."""
     order = [F.desc("timestamp"), F.asc("uid"), F.asc("tag")]
@@ -274,7 +286,9 @@ def candidate_grid_count(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _model(spark: SparkSession, folder: str):
-    return factors.train(warehouse.ratings(spark, folder))
+    """The factor model; queries over the same ratings share one training."""
+    models = f"{checkpoint_folder(spark)}/tasteloom/models"
+    return factors.stored_model(warehouse.ratings(spark, folder), models)
 
 
 def als_user_recs(spark: SparkSession, folder: str) -> DataFrame:
@@ -284,7 +298,12 @@ def als_user_recs(spark: SparkSession, folder: str) -> DataFrame:
 def als_predictions(spark: SparkSession, folder: str) -> DataFrame:
     ratings = warehouse.ratings(spark, folder)
     pairs = factors.triples(ratings)
-    return factors.predict(factors.train(ratings), pairs)
+    return factors.predict(_model(spark, folder), pairs)
+
+
+def als_unseen_recs(spark: SparkSession, folder: str) -> DataFrame:
+    """The best 20 items of every user that the user has not rated."""
+    return factors.unseen_recs(_model(spark, folder), warehouse.ratings(spark, folder))
 
 
 def als_item_similar_top20(spark: SparkSession, folder: str) -> DataFrame:
@@ -444,6 +463,15 @@ def stream_log_ratings(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema("key string, value string").parquet(store.path("out"))
 
 
+def stream_log_topology(spark: SparkSession, folder: str) -> DataFrame:
+    """The same extraction as one job from a source of lines to a sink of messages."""
+    store = _run_store(spark)
+    lines = file_lines(spark, _message_folder(warehouse.log_lines(spark, folder), store))
+    sink = FolderSink(store.path("out"))
+    logs.start_topology(lines, sink, store.path("progress"), availableNow=True).awaitTermination()
+    return sink.read(spark)
+
+
 def stream_realtime(spark: SparkSession, folder: str) -> DataFrame:
     """The scoring stream over all rating messages, read back as the latest lists.
 
@@ -586,6 +614,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         parsed_tags,
         rejected_lines,
         stored_ratings,
+        colocated_item_scores,
         keyed_tags,
         content_term_weights,
         content_idf,
@@ -605,6 +634,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         topk_per_user,
         rmse_item_mean,
         als_user_recs,
+        als_unseen_recs,
         als_predictions,
         als_item_similar_top20,
         als_grid,
@@ -621,6 +651,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         realtime_list_sizes,
         latest_user_events,
         stream_log_ratings,
+        stream_log_topology,
         stream_realtime,
         stream_recent_state,
         stream_recent_in_state,

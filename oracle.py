@@ -371,3 +371,9 @@ SQL["stream_recent_in_state"] = SQL["stream_recent_state"]
 SQL["stream_realtime_in_state"] = SQL["stream_realtime"]
 SQL["merged_user_events"] = SQL["latest_user_events"]
 SQL["keyed_document_table"] = SQL["items_with_tags"]
+SQL["stream_log_topology"] = SQL["stream_log_ratings"]
+SQL["colocated_item_scores"] = _with(
+    "items ratings",
+    """SELECT i.mid, i.name, count(r.score) AS n, sum(r.score) AS score_sum
+       FROM items i LEFT JOIN ratings r ON r.mid = i.mid GROUP BY i.mid, i.name""",
+)

@@ -35,13 +35,15 @@ def top_per_key(
 
 
 def newest_per_user(events: DataFrame) -> DataFrame:
-    """One event per user: the newest; at the same second the lowest item.
+    """One event per user: the newest; at the same second the one that stands last in the
+    source if the events say where (``partition``, ``offset``), else the lowest item.
 
     An aggregate rather than a window: each task sends one row per user, however
     many events the user has.
     """
     event = F.struct("mid", "score", "timestamp")
-    order = F.struct(F.col("timestamp"), -F.col("mid"), F.col("score"))
+    place = [F.col(name) for name in ("offset", "partition") if name in events.columns]
+    order = F.struct(F.col("timestamp"), *place, -F.col("mid"), F.col("score"))
     return (
         events.groupBy("uid")
         .agg(F.max_by(event, order).alias("e"))

@@ -55,7 +55,7 @@ def grid(
     train_ratio: float = DEFAULTS.train_ratio,
     seed: int = DEFAULTS.seed,
     blocks: int = DEFAULTS.als_blocks,
-    parallelism: int = 1,
+    parallelism: int = 4,
 ) -> DataFrame:
     """Train on one part, measure on the other: ``rank, reg, rmse, is_best``.
 

@@ -7,6 +7,8 @@ line, ``quarantine`` returns the good rows and, separately, the bad lines.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,8 @@ from pyspark.sql import types as T
 from tasteloom.functions import delimited, strip_controls
 from tasteloom.schemas import ITEM, RATING, TAG
 
+#: Where a message stands in its source.
+POSITION = ("partition", "offset")
 STRICT = "strict"
 QUARANTINE = "quarantine"
 
@@ -45,16 +49,21 @@ def _is_bad(row: Column, schema: T.StructType) -> Column:
 
 
 def parse(
-    lines: DataFrame, mark: str, schema: T.StructType, mode: str = STRICT
+    lines: DataFrame,
+    mark: str,
+    schema: T.StructType,
+    mode: str = STRICT,
+    keep: Sequence[str] = (),
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
+    """Typed rows; ``keep`` names columns of the lines that the good rows carry on."""
     rows = _typed(mark, schema)
     if mode == STRICT:
         text = F.coalesce("value", F.lit("null"))
         stop = F.raise_error(F.concat(F.lit("bad input line: "), text)).cast("boolean")
         checked = F.filter(rows, lambda r: F.when(_is_bad(r, schema), stop).otherwise(F.lit(True)))
-        return lines.select(F.inline(checked))
+        return lines.select(*keep, F.inline(checked))
     if mode == QUARANTINE:
-        good = lines.select(F.inline(F.filter(rows, lambda r: ~_is_bad(r, schema))))
+        good = lines.select(*keep, F.inline(F.filter(rows, lambda r: ~_is_bad(r, schema))))
         # Not a filter: that would be pushed below the text and build it a second time.
         rejected = F.when(F.exists(rows, lambda r: _is_bad(r, schema)), F.array("value"))
         return good, lines.select(F.explode(rejected).alias("value"))
@@ -74,8 +83,12 @@ def parse_tags(lines: DataFrame, mode: str = STRICT):
 
 
 def parse_rating_events(lines: DataFrame, mode: str = QUARANTINE):
-    """``UID|MID|SCORE|TIMESTAMP`` messages."""
-    return parse(lines, "|", RATING, mode)
+    """``UID|MID|SCORE|TIMESTAMP`` messages.
+
+    Where the lines say their place in the source (``partition``, ``offset``), the events do.
+    """
+    place = [name for name in POSITION if name in lines.columns]
+    return parse(lines, "|", RATING, mode, place)
 
 
 def parse_recent_entries(entries: DataFrame) -> DataFrame:

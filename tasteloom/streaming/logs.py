@@ -6,9 +6,11 @@ import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tasteloom.functions import strip_controls
 from tasteloom.schemas import LOG_KEY, LOG_PREFIX
+from tasteloom.sources.streams import MessageSink
 
 
 def extract_ratings(lines: DataFrame, prefix: str = LOG_PREFIX) -> DataFrame:
@@ -45,3 +47,20 @@ def start_extraction(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def start_topology(
+    lines: DataFrame,
+    sink: MessageSink,
+    checkpoint: str,
+    prefix: str = LOG_PREFIX,
+    **trigger,
+) -> StreamingQuery:
+    """The whole log job: any stream of lines, the extraction, any message sink.
+
+    ``start_topology(kafka_lines(spark, servers, "log"), KafkaSink(servers), ...)`` goes from
+    topic to topic; with ``file_lines`` and ``FolderSink`` the same job goes from folder to
+    folder. A batch as soon as there are lines, unless a trigger is given.
+    """
+    writer = sink.writer(extract_ratings(lines, prefix), checkpoint)
+    return (writer.trigger(**trigger) if trigger else writer).start()

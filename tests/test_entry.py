@@ -51,8 +51,12 @@ def test_models_have_the_rank_and_grid_of_the_reference(monkeypatch):
     monkeypatch.setattr(entry.warehouse, "ratings", lambda *_: None)
     monkeypatch.setattr(entry.factors, "triples", lambda _: None)
     monkeypatch.setattr(entry.factors, "train", made(entry.factors.train))
+    monkeypatch.setattr(entry, "checkpoint_folder", lambda _: "")
+    monkeypatch.setattr(
+        entry.factors, "stored_model", lambda rows, _, **settings: entry.factors.train(rows, **settings)
+    )
     monkeypatch.setattr(entry.tuning, "grid", made(entry.tuning.grid))
-    for name in ("als_user_recs", "als_predictions", "als_item_similar_top20"):
+    for name in ("als_user_recs", "als_unseen_recs", "als_predictions", "als_item_similar_top20"):
         model = found(name)
         assert (model["rank"], model["max_iter"], model["reg"]) == (200, 5, 0.1)
     grid = found("als_grid")
