@@ -13,7 +13,10 @@ all data bytes. The ranks are a table beside the files: ``rank, id, n``.
 
 Encoding remembers the ids of words. A text is cut at single spaces and line ends between
 other characters: a token of byte-level BPE with the usual pattern never crosses such a
-place, and neither does a special token. Texts with other white space are cut more warily.
+place, and neither does a special token. Words are cut, hashed and looked up in NumPy, a
+slice of texts at a time; a remembered word is its hash, its length and first bytes (both
+compared) and its ids, some 40 bytes. Texts with other white space are cut more warily,
+one by one.
 
 Defined cases: a null or empty text has the end id only; repeated rows are written each;
 other columns are not read; an empty table gives no files and no rows.
@@ -26,7 +29,6 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,7 @@ from pyspark.sql import functions as F
 
 from tasteloom.llm.base import saved, scratch, slices
 from tasteloom.llm.files import opened, written
+from tasteloom.llm.words import SPACED, words
 
 MAGIC = b"TLTK0001"
 END_ID = 0
@@ -43,8 +46,21 @@ END_ID = 0
 FILE_BYTES = 32 << 20
 #: Ids decoded at once, or one document's.
 PIECE = 1 << 18
-#: Words that a worker remembers; then it starts anew.
-REMEMBERED = 700_000
+#: Words that a worker remembers, and bytes of pieces of texts with other white space, about;
+#: then it starts anew.
+REMEMBERED_WORDS = 1 << 21
+REMEMBERED = 16 << 20
+#: What a remembered piece takes besides its characters.
+_PIECE_BYTES = 200
+#: What stands before a word: the text's begin, a space or a line end.
+_FIRST, _SPACE, _LINE = 0, 1, 2
+#: Bytes that hold a word's first ones.
+_HEAD = 8
+#: ASCII characters that are no letters, digits or spaces: a run of them behind a word is one
+#: match of the pattern. The apostrophe may begin other ones.
+_MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+#: Letters below this one (Latin, Greek, Cyrillic) are letters in every version of Unicode here.
+_SURE = "\u0530"
 #: Marks a piece that has no space before it; such a character in a text rules the mark out.
 _BARE = "\x00"
 
@@ -56,8 +72,73 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
 
+def _one_match(core: str) -> bool:
+    """Whether a text without spaces is one run of letters, or of digits."""
+    if core.isascii():
+        return core.isalpha() or core.isdigit()
+    return core.isalpha() and max(core) < _SURE
+
+
+class _Known:
+    """Ids of words by their 64-bit hash. New ones go into a small sorted part that is merged
+    into the large one when it has grown to an eighth of that."""
+
+    def __init__(self, dtype: np.dtype):
+        empty = np.zeros(0, np.uint64)
+        self.parts = [(empty, empty, np.zeros(0, np.int64))] * 2
+        self.flat = np.zeros(1 << 16, dtype)
+        self.starts = np.zeros(1 << 12, np.int64)
+        self.n = 0
+
+    def find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """The number of every key, -1 if it is not known; ``keys`` are sorted.
+
+        A word whose hash is that of another one is never found, so it is encoded each time.
+        """
+        found = np.full(len(keys), -1)
+        for names, marks, numbers in self.parts:
+            if len(names):
+                at = np.minimum(np.searchsorted(names, keys), len(names) - 1)
+                same = (names[at] == keys) & (marks[at] == checks)
+                found[same] = numbers[at[same]]
+        return found
+
+    def add(self, keys: np.ndarray, checks: np.ndarray, ids: list[list[int]]) -> np.ndarray:
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        total, used = int(lengths.sum()), int(self.starts[self.n])
+        while used + total > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.n + len(ids) + 1 > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+        self.flat[used : used + total] = [i for one in ids for i in one]
+        self.starts[self.n + 1 : self.n + 1 + len(ids)] = used + np.cumsum(lengths)
+        numbers = np.arange(self.n, self.n + len(ids))
+        self.n += len(ids)
+        large, small = self.parts
+        small = self._merged(small, (keys, checks, numbers))
+        if len(small[0]) * 8 > len(large[0]):
+            large, small = self._merged(large, small), tuple(c[:0] for c in small)
+        self.parts = [large, small]
+        return numbers
+
+    @staticmethod
+    def _merged(a: tuple, b: tuple) -> tuple:
+        joined = [np.concatenate(c) for c in zip(a, b)]
+        order = np.argsort(joined[0], kind="stable")
+        return tuple(c[order] for c in joined)
+
+    def spans(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words one after the other, and how many each has."""
+        starts = self.starts[numbers]
+        lengths = self.starts[numbers + 1] - starts
+        ends = np.cumsum(lengths)
+        at = np.arange(int(ends[-1]) if len(ends) else 0)
+        at += np.repeat(starts - (ends - lengths), lengths)
+        return self.flat[at], lengths
+
+
 class Encoder:
-    """A tokenizer file, with the ids of all pieces seen so far in one flat array."""
+    """A tokenizer file, with the ids of the words seen so far in one flat array."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -67,60 +148,94 @@ class Encoder:
         self.model = self.tokenizer.model
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.letters = _byte_letters()
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat = np.zeros(1 << 16, self.dtype)
-        self.starts = np.zeros(1 << 12, np.int64)
-        self.n, self.used = 0, 0
-
-    def _ids(self, piece: str) -> list[int]:
-        """The ids of a piece; the key without the mark has a space before it."""
-        word = piece[1:] if piece[:1] == _BARE else piece if piece == "\n" else " " + piece
-        core = word.strip(" ")
-        if core.isascii() and core.isalpha():
-            # One word of the pattern: the model alone, without the pattern.
-            return [t.id for t in self.model.tokenize(word.replace(" ", self.letters[32]))]
-        if core[:-1].isalpha() and core[:-1].isascii() and core[-1] in ".," and word[-1] == core[-1]:
-            word = word[:-1].replace(" ", self.letters[32])
-            return [t.id for part in (word, core[-1]) for t in self.model.tokenize(part)]
-        return self.tokenizer.encode(word, add_special_tokens=False).ids
-
-    def _learn(self, pieces: list[str]) -> None:
-        ids = [self._ids(piece) for piece in pieces]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        total = int(lengths.sum())
-        while self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while self.n + len(ids) + 1 > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-        self.flat[self.used : self.used + total] = [i for one in ids for i in one]
-        self.starts[self.n + 1 : self.n + 1 + len(ids)] = self.used + np.cumsum(lengths)
-        self.known.update(zip(pieces, range(self.n, self.n + len(ids)), strict=True))
-        self.n += len(ids)
-        self.used += total
+        self.table = dict(enumerate(_byte_letters()))
+        self.marks: dict[str, list[int]] = {}
+        self.words = _Known(self.dtype)
+        self.known: dict[str, list[int]] = {}
+        self.bytes = 0
+        self.line = self.tokenizer.encode("\n", add_special_tokens=False).ids
+
+    def _model_ids(self, part: str) -> list[int]:
+        """One match of the pattern: the model alone, without the pattern."""
+        part = part.encode().decode("latin-1").translate(self.table)
+        return [t.id for t in self.model.tokenize(part)]
+
+    def _ids(self, word: str, space: bool) -> list[int]:
+        """The ids of a piece, with a space before it or not."""
+        whole = " " + word if space else word
+        if _one_match(word):
+            return self._model_ids(whole)
+        core = word.rstrip(_MARKS)
+        if core != word and core.isalpha() and _one_match(core):
+            marks = word[len(core) :]
+            if marks not in self.marks:
+                if len(self.marks) > 10_000:
+                    self.marks.clear()
+                self.marks[marks] = self._model_ids(marks)
+            return self._model_ids(" " + core if space else core) + self.marks[marks]
+        return self.tokenizer.encode(whole, add_special_tokens=False).ids
+
+    def _usual_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts that are ``_usual``, and the number of ids of each."""
+        found = words(texts, SPACED)
+        first = np.zeros(len(found.starts), bool)
+        first[found.rows[:-1][np.diff(found.rows) > 0]] = True
+        before = found.data[found.starts - 1] if len(found.data) else found.starts
+        kind = np.where(first, _FIRST, np.where(before == 10, _LINE, _SPACE))
+        keys = found.hashes + kind.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        keys, at, which = np.unique(keys, return_index=True, return_inverse=True)
+        checks = _checks(found.data, found.starts[at], found.ends[at])
+        if self.words.n > REMEMBERED_WORDS:
+            self.words = _Known(self.dtype)
+        numbers = self.words.find(keys, checks)
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            raw = found.data.tobytes()
+            ids = []
+            for i, begin, end in zip(
+                kind[at[new]].tolist(), found.starts[at[new]].tolist(), found.ends[at[new]].tolist()
+            ):
+                own = self._ids(raw[begin:end].decode(), i == _SPACE)
+                ids.append([*self.line, *own] if i == _LINE else own)
+            numbers[new] = self.words.add(keys[new], checks[new], ids)
+        out, lengths = self.words.spans(numbers[which])
+        sums = np.concatenate([[0], np.cumsum(lengths)])
+        return out, np.diff(sums[found.rows])
+
+    def _other_ids(self, text: str) -> np.ndarray:
+        """Ids of a text with other white space, piece by piece."""
+        if self.bytes > REMEMBERED:
+            self.known.clear()
+            self.bytes = 0
+        ids: list[int] = []
+        for piece in cut(text):
+            if piece not in self.known:
+                bare = piece[:1] == _BARE
+                self.known[piece] = self._ids(piece[1:] if bare else piece, not bare)
+                self.bytes += _PIECE_BYTES + len(piece)
+            ids += self.known[piece]
+        return np.array(ids, self.dtype)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and the number of ids of each text."""
-        if self.n > REMEMBERED:
-            self._forget()
-        rows = [cut(text) for text in texts]
-        flat = [piece for row in rows for piece in row]
-        which = np.fromiter(map(self.known.get, flat, repeat(-1)), np.int64, len(flat))
-        missing = np.flatnonzero(which < 0).tolist()
-        if missing:
-            new = [flat[i] for i in missing]
-            self._learn(list(dict.fromkeys(new)))
-            which[missing] = list(map(self.known.__getitem__, new))
-        lengths = self.starts[which + 1] - self.starts[which]
-        ends = np.cumsum(lengths)
-        at = np.arange(int(ends[-1]) if len(ends) else 0)
-        at += np.repeat(self.starts[which] - (ends - lengths), lengths)
-        sums = np.concatenate([[0], ends])
-        limits = np.concatenate([[0], np.cumsum([len(row) for row in rows])]).astype(np.int64)
-        return self.flat[at], np.diff(sums[limits])
+        usual = np.fromiter((not text or _usual(text) for text in texts), bool, len(texts))
+        plain = texts if usual.all() else [t if u else "" for t, u in zip(texts, usual)]
+        ids, n = self._usual_ids(pa.array(plain, pa.large_string()))
+        if plain is texts:
+            return ids, n
+        rows = np.split(ids, np.cumsum(n)[:-1])
+        for i in np.flatnonzero(~usual).tolist():
+            rows[i] = self._other_ids(texts[i])
+        return np.concatenate(rows), np.fromiter(map(len, rows), np.int64, len(rows))
+
+
+def _checks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A word's length and first bytes in one number, beside its hash."""
+    padded = np.concatenate([data, np.zeros(_HEAD, np.uint8)])
+    head = padded[starts[:, None] + np.arange(_HEAD)]
+    size = ends - starts
+    head[np.arange(_HEAD) >= size[:, None]] = 0
+    return head.view("<u8").ravel() ^ (size.astype(np.uint64) << np.uint64(56))
 
 
 def _usual(text: str) -> bool:
@@ -135,18 +250,14 @@ def _usual(text: str) -> bool:
 
 def cut(text: str) -> list[str]:
     """Pieces that no token crosses. A piece stands for itself with a space before it, or,
-    marked, for what follows the mark; a line end is a piece of its own."""
-    if not text:
-        return []
-    if _usual(text):
-        return (_BARE + text.replace("\n", f" \n {_BARE}")).split(" ")
+    marked, for what follows the mark."""
     if _BARE in text:
         return [_BARE + text]
     parts = text.split(" ")
     out = [_BARE + parts[0]]
     for part in parts[1:]:
         # A space that white space follows belongs to the piece before.
-        if part and not part[0].isspace() and part != "\n":
+        if part and not part[0].isspace():
             out.append(part)
         else:
             out[-1] += " " + part
