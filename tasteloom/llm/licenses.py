@@ -201,12 +201,15 @@ def spans(hits: DataFrame, templates: tuple[Template, ...]) -> DataFrame:
         .join(F.broadcast(facts), "t")
     )
     whole = lines.filter(F.col("base") & (F.size("at") == F.col("length") - F.col("k") + 1))
-    keys = ["doc_id", "_row", "t"]
+    keys = ["doc_id", "_row", "t", "_near"]
+    # Neighbouring diagonals first: one far away, of a few words that the text repeats, may
+    # begin anywhere between them without cutting what they form.
+    side = Window.partitionBy(*keys[:-1]).orderBy("diagonal", "start")
+    far = F.col("diagonal") - F.lag("diagonal").over(side) > DIAGONALS
     order = Window.partitionBy(*keys).orderBy("start", "diagonal")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     apart = (
-        (F.abs(F.col("diagonal") - F.lag("diagonal").over(order)) > DIAGONALS)
-        | (F.col("start") > F.max("end").over(before) + GAP)
+        (F.col("start") > F.max("end").over(before) + GAP)
         # The template begins again behind what was found so far.
         | (
             (F.col("start") >= F.max("end").over(before))
@@ -215,6 +218,8 @@ def spans(hits: DataFrame, templates: tuple[Template, ...]) -> DataFrame:
     )
     merged = (
         lines.filter(~F.col("base"))
+        .withColumn("_far", F.coalesce(far, F.lit(True)).cast("int"))
+        .withColumn("_near", F.sum("_far").over(side))
         .withColumn("_new", F.coalesce(apart, F.lit(True)).cast("int"))
         .withColumn("_span", F.sum("_new").over(order))
         .groupBy(*keys, "_span", "label", "base", "length", "k")

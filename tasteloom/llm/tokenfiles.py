@@ -48,10 +48,12 @@ FILE_BYTES = 32 << 20
 PIECE = 1 << 18
 #: Words that a worker remembers, and bytes of pieces of texts with other white space, about;
 #: then it starts anew.
-REMEMBERED_WORDS = 1 << 21
+REMEMBERED_WORDS = 1 << 20
 REMEMBERED = 16 << 20
 #: What a remembered piece takes besides its characters.
 _PIECE_BYTES = 200
+#: Text bytes that are encoded at once.
+_SLICE = 1 << 20
 #: What stands before a word: the text's begin, a space or a line end.
 _FIRST, _SPACE, _LINE = 0, 1, 2
 #: Bytes that hold a word's first ones.
@@ -292,7 +294,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(tokenizer)
-        for batch in slices(batches):
+        for batch in slices(batches, most=_SLICE):
             ids, n = code.encode([text or "" for text in batch.column(2).to_pylist()])
             ids = np.insert(ids, np.cumsum(n), end_id)
             rows = _binary(ids, (n + 1) * code.dtype.itemsize)

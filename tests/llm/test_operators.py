@@ -235,6 +235,23 @@ def test_license_scan(docs, empty, spark):
     assert licenses.scan(empty).count() == 0
 
 
+def test_a_far_diagonal_does_not_cut_a_license(spark):
+    """A text that repeats its own first words, or foreign ones, in its middle is still found."""
+    text = licenses.TEMPLATES[3].text
+    words = plain(text)
+    half = len(words) // 2
+    own = " ".join(words[:half] + words[:5] + words[half:])
+    foreign = " ".join(words[:half] + [f"z{i}" for i in range(5)] + words[half:])
+    twice = " ".join(words + ["and"] * 40 + words[:half] + words[:5] + words[half:])
+    pieces = " ".join(words[:half]) + " z" * 200 + " ".join(words[half:])
+    table = [(1, own), (2, foreign), (3, twice), (4, pieces), (5, " ".join(words))]
+    found = licenses.scan(spark.createDataFrame(table, "doc_id long, text string"))
+    labels = {r["doc_id"]: (r["labels"], r["score"]) for r in found.collect()}
+    for i in (1, 2, 3, 5):
+        assert labels[i][0] == "mit-text" and labels[i][1] > 0.9
+    assert labels[4] == ("", 0.0)
+
+
 def test_mix(docs, empty):
     found = mixing.plan(docs).collect()
     by_source = Counter()
