@@ -48,11 +48,13 @@ from tasteloom.sources.tables import (  # noqa: E402
 )
 from tasteloom.streaming import logs, recommend, state  # noqa: E402
 
-# The training-data operators are an optional part.
+# The training-data operators are an optional part; what they need themselves is not.
 try:
     from tasteloom.llm import queries as llm  # noqa: E402
     from tasteloom.llm import sql as llm_sql  # noqa: E402
-except ImportError:
+except ImportError as error:
+    if not (error.name or "").startswith("tasteloom.llm"):
+        raise
     llm = llm_sql = None
 
 DIGITS = 6
