@@ -1,22 +1,23 @@
 """Main text of HTML pages by the distribution of text over line blocks.
 
-Markup is stripped to lines: a block element begins a new line, and what is never article
-text (scripts, styles, menus, headers, footers, sidebars, notices, adverts, forms, reader
-comments) leaves ``WINDOW`` empty lines. Over the lines the text lengths in a sliding window
-of ``WINDOW`` lines are summed. Where the sum rises from nothing is a surge, where it falls to
-nothing a dive; the text between is kept if the sum reaches ``SURGE`` on the way. If nothing
-is kept that way, the stretch with most text is.
-
-``article`` and ``main`` are hints. If no stretch outside them has ``STORY`` characters and
-more than each of them, what is outside is dropped and all that is inside stays, so short
-paragraphs and headings within an article do. Otherwise the marks are on cards or comments, or
-on a part of the story only: the stretches of the whole page are judged, and those with lines
-of an article of ``STORY`` characters are kept anyway.
+Markup is stripped to lines: a block element begins a new line. What is never article text
+(scripts, styles, menus, headers, footers, sidebars, notices, adverts, forms, reader comments)
+leaves ``WINDOW`` empty lines, and so does the beginning and the end of ``article`` and ``main``.
+Over the lines the weighted text lengths in a sliding window of ``WINDOW`` lines are summed.
+Where the sum rises from nothing is a surge, where it falls to nothing a dive; the text between
+is kept if the sum reaches ``SURGE`` on the way. If no sum does, the stretch with most text is.
+
+``article`` and ``main`` are weights in these sums, on every page. On a page without them a
+character weighs 1. Beside them, a stretch outside weighs half, and nothing if some article has
+as much text. A character of an article weighs ``SURGE``, so that its short parts and headings
+reach the level too; it weighs 1 if the article has less than ``STORY`` characters and a stretch
+outside is kept (then the marks are on cards or comments).
 
 Pages are independent: one Arrow pass, no shuffle.
 
 Defined cases: null or empty html gives an empty text; broken markup is read to its end (an
-open comment or script hides the rest); repeated rows are each extracted; null ids and urls
+open comment or script hides the rest; after a tag whose quotes never close, quotes no longer
+hide a ``>``); the time is linear in the html's length whatever it holds; repeated rows are each extracted; null ids and urls
 are carried through; other columns are not read.
 """
 
@@ -33,7 +34,7 @@ from tasteloom.llm.base import arrow_map
 WINDOW = 3
 #: Characters that a window must reach.
 SURGE = 40
-#: Characters of a stretch outside marked articles that can outweigh them.
+#: Characters from which a marked article keeps its weight beside a longer story.
 STORY = 2 * SURGE
 
 # HTML element names and the usual names of page parts.
@@ -61,14 +62,11 @@ PARTS = frozenset(
 #: Elements that name a whole page or article, whatever class they have.
 ROOTS = frozenset("html body main".split())
 
-TAG = re.compile(
-    r"<!--.*?(?:--!?>|\Z)"
-    r"|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<more>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<more2>[^>]*)(?:>|\Z)",
-    re.S,
-)
+_OTHER = r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+_NAME = r"<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)"
+TAG = re.compile(rf"{_OTHER}|{_NAME}(?P<more>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?P<over>>?)", re.S)
+#: Without regard to quotes.
+LOOSE = re.compile(rf"{_OTHER}|{_NAME}(?P<more>[^>]*)(?P<over>>|\Z)", re.S)
 ATTRIBUTE = re.compile(
     r"""(?P<key>[^\s=/>"']+)(?:\s*=\s*(?:"(?P<a>[^"]*)"|'(?P<b>[^']*)'|(?P<c>[^\s"'>]+)))?"""
 )
@@ -93,51 +91,101 @@ def _is_part(name: str, more: str, in_article: bool) -> bool:
     return not PARTS.isdisjoint(re.split(r"[^a-z0-9]+", named))
 
 
-def lines_of(html: str) -> list[tuple[str, int]]:
+class _Open:
+    """The open elements, and for each name and for blocks the places where they are open."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, bool]] = []  # and whether they hide what is in them
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, name: str, hides: bool) -> None:
+        self.places.setdefault(name, []).append(len(self.stack))
+        if name in BLOCKS:
+            self.blocks.append(len(self.stack))
+        self.stack.append((name, hides))
+
+    def pop(self) -> tuple[str, bool]:
+        name, hides = self.stack.pop()
+        self.places[name].pop()
+        if name in BLOCKS:
+            self.blocks.pop()
+        return name, hides
+
+    def left_by(self, name: str) -> int:
+        """How many elements stay open after an end tag."""
+        at = self.places.get(name)
+        # The end of an inline element doesn't close blocks.
+        if not at or (name not in BLOCKS and self.blocks and self.blocks[-1] > at[-1]):
+            return len(self.stack)
+        return at[-1]
+
+    def left_before(self, name: str) -> int:
+        """How many stay open before an element that ends an open one of its kind."""
+        in_kind = self.blocks and self.stack[self.blocks[-1]][0] == name
+        return self.blocks[-1] if in_kind else len(self.stack)
+
+
+def lines_of(html: str, hiding_parts: bool = True) -> list[tuple[str, int]]:
     """Lines of text, each with the number of the outermost marked article it lies in, or 0;
-    removed parts leave gaps."""
+    removed parts and the limits of articles leave gaps.
+
+    Without ``hiding_parts`` the parts that only their names tell leave gaps around them.
+    """
     out: list[tuple[str, int]] = []
     line: list[str] = []
-    stack: list[tuple[str, bool]] = []  # open elements, and whether they hide what is in them
+    open_ = _Open()
+    parts: list[int] = []  # places of parts that are shown
     hiding = articles = marks = at = 0
+    tag = TAG
 
-    def close() -> None:
+    def close(gap: bool = False) -> None:
         text = " ".join("".join(line).split())
         line.clear()
         if text:
             out.append((text, marks if articles else 0))
+        if gap:
+            out.extend([("", 0)] * WINDOW)
 
     def pop() -> None:
         nonlocal hiding, articles
-        name, hides = stack.pop()
+        marked = open_.stack[-1][0] in ("article", "main")
+        shown = bool(parts) and parts[-1] == len(open_.stack) - 1
+        if marked or shown:
+            close(gap=not hiding)
+        if shown:
+            parts.pop()
+        _, hides = open_.pop()
         hiding -= hides
-        articles -= name in ("article", "main")
+        articles -= marked
         if hides and not hiding:
-            out.extend([("", 0)] * WINDOW)
+            close(gap=True)
 
     size = len(html)
     while at < size:
-        found = TAG.search(html, at)
+        found = tag.search(html, at)
+        if found and found["name"] and not found["over"] and tag is TAG:
+            # Quotes that never close hide the rest: from here on they are not looked at.
+            tag = LOOSE
+            found = tag.match(html, found.start())
         text = html[at : found.start()] if found else html[at:]
         if text and not hiding:
             line.append(unescape(text))
         if not found:
             break
         at = found.end()
-        name = (found["name"] or found["name2"] or "").lower()
+        name = (found["name"] or "").lower()
         if not name:
             continue
-        ends, more = found["end"] or found["end2"], found["more"] or found["more2"] or ""
+        more = found["more"]
         if name in BLOCKS:
             close()
         elif name == "br" and not hiding:
             line.append(" ")
-        if ends:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            # The end of an inline element doesn't close blocks.
-            if depth is not None and (name in BLOCKS or not any(n in BLOCKS for n, _ in stack[depth + 1 :])):
-                while len(stack) > depth:
-                    pop()
+        if found["end"]:
+            left = open_.left_by(name)
+            while len(open_.stack) > left:
+                pop()
             continue
         if RAW.match(html, found.start()):
             over = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(html, at)
@@ -147,24 +195,24 @@ def lines_of(html: str) -> list[tuple[str, int]]:
             continue
         if name in ("p", "li", "td", "th", "tr", "dt", "dd", "option"):
             # These end where the next of their kind begins.
-            while stack and (stack[-1][0] == name or stack[-1][0] not in BLOCKS and _within(stack, name)):
-                pop()
-        hides = name in HIDDEN or (not hiding and _is_part(name, more, articles > 0))
-        if hides and not hiding:
-            close()
-        stack.append((name, hides))
+            while (left := open_.left_before(name)) < len(open_.stack):
+                while len(open_.stack) > left:
+                    pop()
+        part = not hiding and _is_part(name, more, articles > 0)
+        hides = name in HIDDEN or (part and hiding_parts)
+        marked = name in ("article", "main")
+        if (hides or part or marked) and not hiding:
+            close(gap=not hides)
+        if part and not hides:
+            parts.append(len(open_.stack))
+        open_.push(name, hides)
         hiding += hides
-        marks += name in ("article", "main") and not articles
-        articles += name in ("article", "main")
+        marks += marked and not articles
+        articles += marked
     close()
     return out
 
 
-def _within(stack: list[tuple[str, bool]], name: str) -> bool:
-    """Whether the nearest open block is a ``name``."""
-    return next((n for n, _ in reversed(stack) if n in BLOCKS), "") == name
-
-
 def stretches(lengths: list[int]) -> list[tuple[int, int, int]]:
     """(surge, dive, highest window sum): where the window sums rise from and fall to nothing."""
     out, start, top, window = [], None, 0, 0
@@ -179,36 +227,41 @@ def stretches(lengths: list[int]) -> list[tuple[int, int, int]]:
     return out
 
 
-def _without(lines: list[tuple[str, int]], inside: bool) -> list[str]:
-    """The lines with gaps in the place of those inside, or outside, of marked articles."""
-    spread: list[str] = []
-    for text, mark in lines:
-        if not text or (mark > 0) != inside:
-            spread.append(text)
-        else:
-            spread.extend([""] * WINDOW)
-    return spread
+def weighted(lines: list[tuple[str, int]]) -> list[int]:
+    """The length of every line times twice its weight."""
+    lengths = [len(text) for text, _ in lines]
+    marked: dict[int, int] = {}
+    for length, (_, mark) in zip(lengths, lines, strict=True):
+        if mark and length:
+            marked[mark] = marked.get(mark, 0) + length
+    heaviest = max(marked.values(), default=0)
+    apart = [0 if mark else length for length, (_, mark) in zip(lengths, lines, strict=True)]
+    out, beside = [0] * len(lines), False
+    for a, b, top in stretches(apart):
+        if not marked:
+            out[a:b] = [2 * length for length in apart[a:b]]
+        elif sum(apart[a:b]) > heaviest:
+            out[a:b] = apart[a:b]
+            beside = beside or top >= 2 * SURGE
+    for i, (_, mark) in enumerate(lines):
+        if mark:
+            out[i] = 2 * lengths[i] * (SURGE if marked.get(mark, 0) >= STORY or not beside else 1)
+    return out
+
+
+def chosen(lines: list[tuple[str, int]]) -> list[tuple[int, int]]:
+    """The stretches of lines to keep."""
+    kept = [(a, b) for a, b, top in stretches(weighted(lines)) if top >= 2 * SURGE]
+    if kept:
+        return kept
+    lengths = [len(text) for text, _ in lines]
+    found = [(a, b) for a, b, _ in stretches(lengths)]
+    return [max(found, key=lambda s: sum(lengths[s[0] : s[1]]))] if found else []
 
 
 def main_text(html: str | None) -> str:
     lines = lines_of(html or "")
-    marked: dict[int, int] = {}
-    for text, mark in lines:
-        if mark:
-            marked[mark] = marked.get(mark, 0) + len(text)
-    spread, sure = [text for text, _ in lines], [marked.get(mark, 0) >= STORY for _, mark in lines]
-    if marked:
-        apart = [len(text) for text in _without(lines, True)]
-        outside = max((sum(apart[a:b]) for a, b, _ in stretches(apart)), default=0)
-        if outside < STORY or outside <= max(marked.values()):
-            spread = _without(lines, False)
-            sure = [True] * len(spread)
-    lengths = [len(text) for text in spread]
-    found = stretches(lengths)
-    kept = [(a, b) for a, b, top in found if top >= SURGE or any(sure[a:b])]
-    if not kept and found:
-        kept = [max(((a, b) for a, b, _ in found), key=lambda s: sum(lengths[s[0] : s[1]]))]
-    return " ".join(text for a, b in kept for text in spread[a:b] if text)
+    return " ".join(text for a, b in chosen(lines) for text, _ in lines[a:b] if text)
 
 
 def extract(pages: DataFrame) -> DataFrame:
