@@ -14,7 +14,7 @@ from tasteloom.plans.session import checkpoint_folder
 #: Text bytes that one slice of an Arrow batch may hold; a longer text is a slice of its own.
 SLICE_BYTES = 2 << 20
 #: Bytes of rows that Spark may put into one Arrow batch; its own limit counts rows.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

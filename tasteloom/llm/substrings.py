@@ -34,8 +34,8 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -278,22 +278,26 @@ def _dealt(docs: DataFrame, info: DataFrame, window: int) -> DataFrame:
 def _matched(dealt: DataFrame, window: int) -> DataFrame:
     """``doc, cls, start, end``: what the automata of the shards find."""
 
-    def step(rows: pd.DataFrame) -> pd.DataFrame:
-        refs, texts = rows[rows["kind"] == 0], rows[rows["kind"] == 1]
-        out = []
+    schema = "doc bigint, cls bigint, start bigint, end bigint"
+
+    def step(rows: pa.Table) -> pa.Table:
+        out: list[list[int]] = [[], [], [], []]
+        refs = rows.filter(pc.equal(rows.column("kind"), 0))
+        texts = rows.filter(pc.equal(rows.column("kind"), 1))
         if len(refs) and len(texts):
             automaton = Automaton()
-            for doc, words in zip(refs["doc"], refs["words"], strict=True):
-                automaton.add(np.frombuffer(words, np.uint64).tolist(), doc)
+            for doc, words in zip(refs.column("doc").to_pylist(), refs.column("words"), strict=True):
+                automaton.add(np.frombuffer(words.as_buffer(), np.uint64).tolist(), doc)
             automaton.finish()
-            for doc, cls, words in zip(texts["doc"], texts["cls"], texts["words"], strict=True):
-                text = np.frombuffer(words, np.uint64).tolist()
-                out += [(doc, cls, a, b) for a, b in automaton.spans(text, doc, window)]
-        return pd.DataFrame(out, columns=["doc", "cls", "start", "end"]).astype("int64")
-
-    return dealt.groupBy("shard", "part").applyInPandas(
-        step, "doc bigint, cls bigint, start bigint, end bigint"
-    )
+            docs, classes = (texts.column(c).to_pylist() for c in ("doc", "cls"))
+            for doc, cls, words in zip(docs, classes, texts.column("words"), strict=True):
+                text = np.frombuffer(words.as_buffer(), np.uint64).tolist()
+                for a, b in automaton.spans(text, doc, window):
+                    for column, value in zip(out, (doc, cls, a, b), strict=True):
+                        column.append(value)
+        return pa.table([pa.array(c, pa.int64()) for c in out], ["doc", "cls", "start", "end"])
+
+    return dealt.groupBy("shard", "part").applyInArrow(step, schema)
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
