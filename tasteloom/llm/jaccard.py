@@ -9,8 +9,9 @@ Pairs are looked for by exact bounds only. Two sets that reach the threshold sha
 among the first of each in the global order (prefix filter), have similar sizes, and leave
 room behind that gram for the overlap that is needed; a parity bitmap with about a bit per gram
 bounds the difference of two sets from below. The join of the gram lists compares the bitmaps
-folded to 256 bits, so that most pairs just under the threshold are never emitted; the whole
-bitmaps are compared next. Whatever passes is counted exactly.
+folded to ``SKETCH_BITS``, so that most pairs just under the threshold are never emitted, and emits
+a pair at its first common gram alone (as far as ``EARLIER`` grams tell); the whole bitmaps are
+compared next. Whatever passes is counted exactly.
 
 Copies and large groups: equal sets are one class, named by a 64-bit digest, and only classes
 are joined. Then, in some rounds, each class is compared with one leader of another component:
@@ -52,7 +53,10 @@ FRAGMENTS = 4
 #: grams the bound would lie under what the threshold allows, and every pair would pass.
 MAP_BITS = 1024
 #: Bits of the map folded to a fixed width, which the join of gram lists compares itself.
-SKETCH_BITS = 256
+SKETCH_BITS = 1024
+#: Grams before its own that a list entry knows of, so that a pair is emitted once. A pair whose
+#: first common grams lie behind them comes out more than once and is made distinct.
+EARLIER = 8
 #: Rounds in which classes are compared with leaders before pairs are looked for.
 LEADER_ROUNDS = 4
 
@@ -337,6 +341,22 @@ def _leaders(named: DataFrame, step: int, percent: int) -> DataFrame:
     )
 
 
+def _with_earlier(entries: DataFrame, sketches: DataFrame) -> DataFrame:
+    """List entries with the sketch of their class and its first grams before theirs."""
+    in_order = F.sort_array(F.collect_list(F.struct("pos", "gram")))
+    whole = entries.groupBy("cid").agg(F.first("n").alias("n"), F.first("root").alias("root"), in_order.alias("all"))
+    heads = whole.join(sketches, "cid").withColumn("head", F.slice(F.col("all.gram"), 1, EARLIER))
+    return heads.select("cid", "n", "root", "sketch", "head", F.posexplode("all").alias("i", "entry")).select(
+        F.col("entry.gram").alias("gram"),
+        "cid",
+        "n",
+        F.col("entry.pos").alias("pos"),
+        "root",
+        "sketch",
+        F.slice("head", F.lit(1), F.least("i", F.lit(EARLIER))).alias("earlier"),
+    )
+
+
 def classes_and_links(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows (``doc_id, row, n_shingles, cid``), classes and the links that join components."""
     spark = docs.sparkSession
@@ -377,10 +397,10 @@ def classes_and_links(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tu
         )
     open_ = named.groupBy("gram").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b")
     across = named.join(open_.select("gram"), "gram", "left_semi")
-    across = saved(across.join(classes.select("cid", "sketch"), "cid"), f"{folder}/across")
+    across = saved(_with_earlier(across, classes.select("cid", "sketch")), f"{folder}/across")
     # The smaller set is found by a shorter prefix.
     index = F.col("nx") - F.ceil(F.col("nx") * (2 * percent) / (100 + percent)) + 1
-    sides = {"cid": "c", "n": "n", "pos": "p", "root": "r", "sketch": "s"}
+    sides = {"cid": "c", "n": "n", "pos": "p", "root": "r", "sketch": "s", "earlier": "e"}
     x = across.select("gram", *(F.col(c).alias(f"{a}x") for c, a in sides.items()))
     y = across.select("gram", *(F.col(c).alias(f"{a}y") for c, a in sides.items()))
     need = _needed("nx", "ny", percent)
@@ -394,6 +414,7 @@ def classes_and_links(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tu
             & (100 * F.col("nx") >= percent * F.col("ny"))
             & (room >= need)
             & (sketch_distance("sx", "sy") <= F.col("nx") + F.col("ny") - 2 * need)
+            & ~F.arrays_overlap("ex", "ey")
         )
         .select(F.col("cx").alias("x"), F.col("cy").alias("y"))
         .distinct()
