@@ -21,6 +21,7 @@ from pyspark.sql import types as T  # noqa: E402
 
 from tasteloom.functions import cosine, score_in  # noqa: E402
 from tasteloom.operators import content, factors, realtime, statistics, tags, tuning  # noqa: E402
+from tasteloom.operators.approximate import approximate_index  # noqa: E402
 from tasteloom.operators.ranking import as_recs, newest_per_user, recent, top_per_key  # noqa: E402
 from tasteloom.operators.similarity import (  # noqa: E402
     SimilarityIndex,
@@ -267,6 +268,19 @@ def vector_similar_top10(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def vector_similar_approx(spark: SparkSession, folder: str) -> DataFrame:
+    """Lists of the vectors whose id is divisible by 100, looked for by hashes among all."""
+    index = approximate_index(
+        _vectors(spark, folder),
+        VECTOR_THRESHOLD,
+        DIGITS,
+        queries=F.col("mid") % 100 == 0,
+        store=_run_store(spark),
+    )
+    lists = index.neighbours().filter(F.col("mid") % 100 == 0)
+    return lists.withColumnRenamed("mid", "vec_id")
+
+
 def vector_cosine(spark: SparkSession, folder: str) -> DataFrame:
     """Cosine of every vector with the first vector of its label."""
     vectors = warehouse.table(spark, folder, "embeddings")
@@ -628,6 +642,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         content_hashed_top20,
         vector_similar,
         vector_similar_top10,
+        vector_similar_approx,
         vector_cosine,
         similar_map_lookup,
         distinct_users,

@@ -427,6 +427,22 @@ def _tile_multiplier(threshold: float, digits: int | None, keep: int | None):
     return multiply
 
 
+def vector_classes(
+    vectors: DataFrame, store: Store | None, name: str
+) -> tuple[DataFrame, DataFrame, int]:
+    """Rows of vectors with a length, their classes (``vec, norm, cls, n``) and the dimension."""
+    usable = vectors.filter(F.size("vec") > 0).withColumn("norm", l2_norm("vec"))
+    usable = usable.filter((F.col("norm") > 0) & (F.col("norm") < float("inf")))
+    classes = usable.groupBy("vec", "norm").agg(
+        F.min("mid").alias("cls"), F.count("*").alias("n")
+    )
+    classes = settled(classes, store, f"{name}Classes")
+    sizes = classes.agg(F.min(F.size("vec")).alias("a"), F.max(F.size("vec")).alias("b")).first()
+    if sizes["a"] != sizes["b"]:
+        raise ValueError(f"vectors of {sizes['a']} and of {sizes['b']} numbers have no cosine")
+    return usable, classes, sizes["a"] or 1
+
+
 def dense_index(
     vectors: DataFrame,
     threshold: float,
@@ -444,19 +460,9 @@ def dense_index(
     while links and counts are then no longer complete.
     """
     spark = vectors.sparkSession
-    usable = vectors.filter(F.size("vec") > 0).withColumn("norm", l2_norm("vec"))
-    usable = usable.filter((F.col("norm") > 0) & (F.col("norm") < float("inf")))
-    classes = usable.groupBy("vec", "norm").agg(
-        F.min("mid").alias("cls"), F.count("*").alias("n")
-    )
-    classes = settled(classes, store, f"{name}Classes")
-    sizes = classes.agg(F.min(F.size("vec")).alias("a"), F.max(F.size("vec")).alias("b")).first()
-    if sizes["a"] != sizes["b"]:
-        raise ValueError(f"vectors of {sizes['a']} and of {sizes['b']} numbers have no cosine")
+    usable, classes, dim = vector_classes(vectors, store, name)
     if blocks is None:
-        facts = classes.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("dim")).first()
-        dim = facts["dim"] or 1
-        blocks = block_count(facts["n"], dim, spark.sparkContext.defaultParallelism)
+        blocks = block_count(classes.count(), dim, spark.sparkContext.defaultParallelism)
     blocked = classes.select(
         F.col("cls").cast("bigint").alias("cls"),
         "n",
