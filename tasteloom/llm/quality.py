@@ -14,7 +14,9 @@ three-word windows that occur twice or more. Only documents that pass them enter
 How it is kept exact and small: features are whole numbers (in units of 1/``UNIT``), so
 sums of products do not depend on the order of rows. Medians and coverage limits come from
 counts per small bin, so no group is ever sorted or gathered; a source with a third of all
-rows is some thousand bins. A variance never falls below ``FLOOR`` squared per feature: many
+rows is some thousand bins. Rows meet their group's estimate by group and part: a group of more
+than a small share of all rows (``_parts``) is dealt in parts, each with a copy of the estimate.
+A variance never falls below ``FLOOR`` squared per feature: many
 sources have, say, no repeated line at all, and one such line is no reason to reject.
 
 Every document that passes the rules is judged, however small its group: the estimate of a
@@ -30,6 +32,7 @@ from __future__ import annotations
 
 import math
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,8 +44,9 @@ MIN_WORDS = 50
 MAX_REPEATED = 50  # percent of the words
 #: Documents that the estimate above a group counts as.
 PRIOR = 100
-#: Concentration steps at most; the determinant stops falling before.
-MOST_STEPS = 30
+#: A group is one part up to so many rows, or up to all rows over ``MOST_PARTS`` if that is more.
+PART_ROWS = 4096
+MOST_PARTS = 16_384
 #: Squared distance: 99.9 % of a chi-square distribution with four degrees of freedom.
 CUTOFF = 18.4668
 UNIT = 1000
@@ -227,6 +231,30 @@ def _distance() -> Column:
     return total
 
 
+def _parts(rows: DataFrame, cell: str, path: str) -> DataFrame:
+    """``cell`` and ``_parts`` of the groups too large for one part: ``MOST_PARTS`` rows at most."""
+    counted = saved(rows.groupBy(cell).agg(F.count("*").alias("_rows")), f"{path}-rows")
+    each = counted.agg(
+        F.greatest(F.lit(PART_ROWS), F.ceil(F.coalesce(F.sum("_rows"), F.lit(0)) / MOST_PARTS)).alias("each")
+    ).first()["each"]
+    large = counted.filter(F.col("_rows") > each)
+    return saved(large.select(cell, F.ceil(F.col("_rows") / each).cast("int").alias("_parts")), path)
+
+
+def _dealt(rows: DataFrame, parts: DataFrame, cell: str) -> DataFrame:
+    """Every row with the ``_part`` of its group that it is in; ``rows`` is a written table."""
+    found = rows.withColumn("_nth", F.monotonically_increasing_id()).join(F.broadcast(parts), cell, "left")
+    nth = F.pmod(F.xxhash64("_nth"), F.col("_parts")).cast("int")
+    return found.withColumn("_part", F.coalesce(nth, F.lit(0))).drop("_nth", "_parts")
+
+
+def _copied(estimates: DataFrame, parts: DataFrame, cell: str) -> DataFrame:
+    """Every estimate once for each ``_part`` of its group."""
+    found = estimates.join(F.broadcast(parts), cell, "left")
+    last = F.coalesce(F.col("_parts"), F.lit(1)) - 1
+    return found.withColumn("_part", F.explode(F.sequence(F.lit(0), last))).drop("_parts")
+
+
 def _estimate(rows: DataFrame, keys: list[str], values: list[Column]) -> DataFrame:
     """``keys``, ``_n``, centre ``m_i`` and covariance ``c_j_i``, not below the floor."""
     n = range(len(FEATURES))
@@ -271,13 +299,15 @@ def _inverted(found: DataFrame, keys: list[str], factor: Column | None = None) -
     return found.select(*keys, *(f"m_{i}" for i in n), *spread, *names, det.alias("det"))
 
 
-def _starts(rows: DataFrame, folder: str) -> DataFrame:
+def _starts(rows: DataFrame, parts: DataFrame, folder: str) -> DataFrame:
     """Three estimates of every cell, by ``start``."""
+    by = ["cell", "_part"]
     n = range(len(FEATURES))
     centre = saved(_medians(rows, {name: F.col(name) for name in FEATURES}), f"{folder}/median")
     centre = centre.select("cell", *(F.col(name).alias(f"m_{i}") for i, name in enumerate(FEATURES)))
     apart = {f"d_{i}": F.abs(F.col(name) - F.col(f"m_{i}")) for i, name in enumerate(FEATURES)}
-    spread = saved(centre.join(_medians(rows.join(centre, "cell"), apart), "cell"), f"{folder}/spread")
+    away = _medians(rows.join(_copied(centre, parts, "cell"), by), apart)
+    spread = saved(centre.join(away, "cell"), f"{folder}/spread")
     deviations = spread.select(
         "cell",
         F.lit(1).cast("bigint").alias("_n"),
@@ -294,23 +324,24 @@ def _starts(rows: DataFrame, folder: str) -> DataFrame:
     ]
     found = [
         deviations,
-        _estimate(rows.join(spread, "cell"), ["cell"], clipped),
+        _estimate(rows.join(_copied(spread, parts, "cell"), by), ["cell"], clipped),
         _estimate(rows, ["cell"], [F.col(name) for name in FEATURES]),
     ]
     each = [_inverted(one.withColumn("start", F.lit(k)), ["cell", "start"]) for k, one in enumerate(found)]
     return saved(each[0].unionByName(each[1]).unionByName(each[2]), f"{folder}/start")
 
 
-def _concentrated(rows: DataFrame, estimate: DataFrame, path: str) -> DataFrame:
+def _concentrated(rows: DataFrame, parts: DataFrame, estimate: DataFrame, path: str) -> DataFrame:
     """Centre and covariance of the closest half of every cell, for each of its starts."""
     keys = ["cell", "start"]
     bin_ = F.floor(F.log2(1 + _distance()) * DISTANCE_BINS).cast("bigint")
-    near = rows.join(estimate, "cell").select(*keys, *FEATURES, bin_.alias("bin"))
+    near = rows.join(_copied(estimate, parts, "cell"), ["cell", "_part"])
+    near = near.select(*keys, "_part", *FEATURES, bin_.alias("bin"))
     counted = saved(near.groupBy(*keys, "bin").count(), f"{path}-bins")
     limits = _limit_bins(counted, keys, _half).withColumnRenamed("bin", "_limit")
     totals = counted.groupBy(*keys).agg(F.sum("count").alias("_total"))
     limits = saved(limits.join(totals, keys), f"{path}-limits")
-    inside = near.join(limits, keys).filter("bin <= _limit")
+    inside = near.join(_copied(limits, parts, "cell"), [*keys, "_part"]).filter("bin <= _limit")
     found = _estimate(inside, [*keys, "_total"], [F.col(name) for name in FEATURES])
     # Tied documents can make the half larger.
     percent = F.floor(100 * F.col("_n") / F.col("_total")).cast("int")
@@ -321,14 +352,17 @@ def _concentrated(rows: DataFrame, estimate: DataFrame, path: str) -> DataFrame:
 
 def estimates(rows: DataFrame, folder: str) -> DataFrame:
     """``cell``, ``_total`` documents, centre ``m_i`` and covariance ``c_j_i`` of every cell."""
-    active, steps = _starts(rows, folder), []
-    for step in range(MOST_STEPS):
-        found = _concentrated(rows, active, f"{folder}/step{step}")
+    parts = _parts(rows, "cell", f"{folder}/parts")
+    rows = _dealt(rows, parts, "cell")
+    active, steps = _starts(rows, parts, folder), []
+    # Every step lowers some determinant by a least amount, and floors bound them from below.
+    for step in count():
+        found = _concentrated(rows, parts, active, f"{folder}/step{step}")
         steps.append(found)
         if step:
             before = active.select("cell", "start", F.col("det").alias("_before"))
             falling = found.join(before, ["cell", "start"]).filter(F.col("det") < F.col("_before") - 1e-6)
-            found = falling.drop("_before")
+            found = saved(falling.drop("_before"), f"{folder}/falling{step}")
         if found.isEmpty():
             break
         active = found
@@ -391,8 +425,12 @@ def assessed(docs: DataFrame) -> DataFrame:
     counted = saved(statistics(docs, keep), f"{folder}/counts")
     placed = counted.withColumns(_features()).withColumn("of_source", _cells()["of_source"])
     found = _by_source(placed.filter(~F.col("base_failed")), folder)
+    parts = _parts(placed, "of_source", f"{folder}/parts-of-source")
     distance = _distance()
-    return placed.join(found, "of_source", "left").select(
+    judged = _dealt(placed, parts, "of_source").join(
+        _copied(found, parts, "of_source"), ["of_source", "_part"], "left"
+    )
+    return judged.select(
         "doc_id",
         "n_words",
         "word_chars",
@@ -401,7 +439,7 @@ def assessed(docs: DataFrame) -> DataFrame:
         "n_repeat_words",
         "base_failed",
         distance.alias("distance"),
-        (~F.col("base_failed") & F.coalesce(distance <= CUTOFF, F.lit(True))).alias("kept"),
+        (~F.col("base_failed") & (distance <= CUTOFF)).alias("kept"),
         "_row",
     )
 
