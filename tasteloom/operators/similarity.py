@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasteloom.functions import l2_norm
+from tasteloom.operators.pruning import Regions, regions, with_region
 from tasteloom.operators.ranking import chunk_of, ranked, top_per_key
 from tasteloom.sources.tables import Store, settled
 
@@ -443,6 +444,42 @@ def vector_classes(
     return usable, classes, sizes["a"] or 1
 
 
+def _tiles(classes: DataFrame, found: Regions, dim: int, blocks: int) -> tuple[DataFrame, int]:
+    """Every class once for each product it takes part in (``low, high`` blocks), and their number."""
+    total = max(1, int(found.sizes.sum()))
+    largest = max(1, min(math.ceil(total / blocks), TILE_BYTES // (dim * 4)))
+    parts = [math.ceil(size / largest) for size in found.sizes.tolist()]
+    first = np.concatenate([[0], np.cumsum(parts)]).tolist()
+    held = [p > 0 for p in parts]
+    near = [
+        [b for b in np.nonzero(row)[0].tolist() if held[a] and held[b]]
+        for a, row in enumerate(found.near)
+    ]
+    products = 0
+    for a, others in enumerate(near):
+        products += parts[a] * (parts[a] + 1) // 2 + sum(parts[a] * parts[b] for b in others if b > a)
+
+    # All that is per region or pair of regions is bounded by the number of pivots.
+    table = [
+        (a, first[a], max(1, parts[a]), [(first[b], first[b + 1] - 1) for b in others])
+        for a, others in enumerate(near)
+    ]
+    schema = "region int, start int, parts int, near array<struct<a int, b int>>"
+    placed = with_region(classes.select("cls", "n", "vec", "norm"), found.pivots).join(
+        F.broadcast(classes.sparkSession.createDataFrame(table, schema)), "region"
+    )
+    block = (F.col("start") + F.pmod(F.xxhash64("cls"), F.col("parts"))).cast("int")
+    others = F.flatten(F.transform("near", lambda span: F.sequence(span["a"], span["b"])))
+    pairs = F.transform(
+        others,
+        lambda other: F.struct(
+            F.least(F.col("block"), other).alias("low"), F.greatest(F.col("block"), other).alias("high")
+        ),
+    )
+    tiled = placed.withColumn("block", block).select("cls", "n", "vec", "norm", "block", F.inline(pairs))
+    return tiled, max(1, products)
+
+
 def dense_index(
     vectors: DataFrame,
     threshold: float,
@@ -454,8 +491,9 @@ def dense_index(
 ) -> SimilarityIndex:
     """Exact cosine above ``threshold`` over ``mid, vec`` rows (``vec ARRAY<FLOAT>``).
 
-    Distinct vectors are hashed into blocks of even, bounded size and every pair of
-    blocks is one matrix product in one task. ``keep=k`` lets each product pass on
+    Distinct vectors are dealt by region (``pruning``), within a region by hash, into blocks of
+    bounded size. Every pair of blocks whose regions can hold a pair above the threshold is one
+    matrix product in one task; the others are skipped. ``keep=k`` lets each product pass on
     only what can still be among the first k classes of a list: enough for ``top(k - 1)``,
     while links and counts are then no longer complete.
     """
@@ -463,25 +501,19 @@ def dense_index(
     usable, classes, dim = vector_classes(vectors, store, name)
     if blocks is None:
         blocks = block_count(classes.count(), dim, spark.sparkContext.defaultParallelism)
-    blocked = classes.select(
-        F.col("cls").cast("bigint").alias("cls"),
-        "n",
-        "vec",
-        "norm",
-        F.pmod(F.xxhash64("cls"), F.lit(blocks)).cast("int").alias("block"),
-    )
-    tiles = F.transform(
-        F.sequence(F.lit(0), F.lit(blocks - 1)),
-        lambda other: F.struct(
-            F.least(F.col("block"), other).alias("low"),
-            F.greatest(F.col("block"), other).alias("high"),
-        ),
-    )
+    # A rounded score passes from half a unit of its last digit below the threshold.
+    least = threshold if digits is None else threshold - 0.5 * 10.0**-digits
+    found = regions(classes, least, blocks)
+    if len(found.pivots):
+        tiled, products = _tiles(classes, found, dim, blocks)
+    else:
+        nowhere = [F.lit(0).alias(name) for name in ("block", "low", "high")]
+        tiled, products = classes.select("cls", "n", "vec", "norm", *nowhere), 1
     # The shuffle width follows the number of products, not the session default.
-    partitions = min(blocks * (blocks + 1) // 2, MAX_TILE_PARTITIONS)
+    partitions = min(products, blocks * (blocks + 1) // 2, MAX_TILE_PARTITIONS)
     id_type = vectors.schema["mid"].dataType
-    found = (
-        blocked.select("cls", "n", "vec", "norm", "block", F.inline(tiles))
+    links = (
+        tiled.withColumn("cls", F.col("cls").cast("bigint"))
         .repartition(partitions, "low", "high")
         .groupBy("low", "high")
         .applyInArrow(
@@ -496,4 +528,4 @@ def dense_index(
         )
     )
     members = usable.join(classes, ["vec", "norm"]).select("mid", "cls", "n")
-    return SimilarityIndex(members, found.unionByName(_own_links(classes, threshold))).settled(store, name)
+    return SimilarityIndex(members, links.unionByName(_own_links(classes, threshold))).settled(store, name)
