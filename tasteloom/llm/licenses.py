@@ -5,7 +5,8 @@ template has the same run. Text position less template position is a diagonal; t
 a template are counted per diagonal. A text that quotes a template with some words put in or
 left out has hits on neighbouring diagonals, so these are merged where they also follow each
 other in the text. A merged span is a find if its hits cover ``MIN_COVER`` of the template
-within a text stretch that is at most ``MAX_STRETCH`` times as long. Short phrases must stand
+within a text stretch that is at most ``MAX_STRETCH`` times as long, unless another template
+stands there more completely. Short phrases must stand
 complete, on one diagonal; each of their places counts.
 
 The runs that no template has are left out before the join by a look-up in the set of
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tasteloom.llm.base import saved, scratch
+from tasteloom.llm.license_texts import NOTICES
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -38,6 +40,10 @@ MAX_STRETCH = 1.3
 #: Diagonals apart at most, and words between hits at most, to be merged.
 DIAGONALS = 8
 GAP = 24
+#: Words of a stretch in which overlapping spans meet.
+STRETCH = 64
+#: Words of all templates together.
+MOST_WORDS = 200_000
 
 
 @dataclass(frozen=True)
@@ -95,9 +101,29 @@ TEMPLATES = (
     ),
     Template("cc-by-nc", "licensed under CC BY-NC 4.0"),
     Template("all-rights-reserved", "all rights reserved"),
+    *(Template(label, text) for label, text in NOTICES.items()),
 )
 
 
+def read_templates(spark: SparkSession, folder: str) -> tuple[Template, ...]:
+    """A template per text file of ``folder``, labelled by its name without the ending.
+
+    Templates are constants of a scan, so all of them together may have ``MOST_WORDS`` words;
+    more is an error. A file of fewer words than ``SHORT_RUN`` is one too: nothing could match it.
+    """
+    files = spark.read.text(folder, wholetext=True).select(
+        F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.[^./]*)?$", 1).alias("label"), "value"
+    )
+    words = files.agg(F.sum(F.regexp_count(lowered(F.col("value")), F.lit(WORD)))).first()[0] or 0
+    if words > MOST_WORDS:
+        raise ValueError(f"{words} words of license texts; {MOST_WORDS} are possible")
+    found = [Template(r["label"], r["value"]) for r in files.orderBy("label", "value").collect()]
+    for template in found:
+        if len(template.words()) < SHORT_RUN:
+            raise ValueError(f"license text {template.label} has fewer than {SHORT_RUN} words")
+    return tuple(found)
+
+
 def lowered(text: Column) -> Column:
     """A-Z as a-z, and nothing else."""
     ascii_only = F.octet_length(text) == F.length(text)
@@ -183,6 +209,32 @@ def _covered(places: Column, k: Column) -> Column:
     )
 
 
+def _unrivalled(found: DataFrame) -> DataFrame:
+    """``found`` without the spans in which another template stands more completely.
+
+    Notices of one family share most of their words. A span gives way to one of another template
+    that has a higher cover and ``MIN_COVER`` of its words. The two meet where the middle of the
+    first is, by stretches of ``STRETCH`` words: a span is in as many as its template is long.
+    """
+    found = saved(found, f"{scratch(found.sparkSession, 'licenses')}/spans")
+    middle = F.floor((F.col("start") + F.col("end")) / 2)
+    rivals = found.select(
+        *(F.col(name).alias(f"_{name}") for name in ("doc_id", "t", "start", "end", "cover")),
+        F.col("_row").alias("_of"),
+        F.explode(F.sequence(F.floor(F.col("start") / STRETCH), F.floor(F.col("end") / STRETCH))).alias("_at"),
+    )
+    common = F.least("end", "_end") - F.greatest("start", "_start")
+    beaten = (
+        F.col("doc_id").eqNullSafe(F.col("_doc_id"))
+        & (F.col("_row") == F.col("_of"))
+        & (F.floor(middle / STRETCH) == F.col("_at"))
+        & (F.col("t") != F.col("_t"))
+        & (F.col("_cover") > F.col("cover"))
+        & (common >= MIN_COVER * (F.col("end") - F.col("start")))
+    )
+    return found.join(rivals, beaten, "left_anti")
+
+
 def spans(hits: DataFrame, templates: tuple[Template, ...]) -> DataFrame:
     """``doc_id, _row, label, base, start, n_words, cover``: verified spans."""
     spark = hits.sparkSession
@@ -237,7 +289,7 @@ def spans(hits: DataFrame, templates: tuple[Template, ...]) -> DataFrame:
     columns = ["doc_id", "_row", "label", "base", "start"]
     size = (F.col("end") - F.col("start")).alias("n_words")
     return whole.select(*columns, size, F.lit(1.0).alias("cover")).unionByName(
-        merged.select(*columns, size, "cover")
+        _unrivalled(merged).select(*columns, size, "cover")
     )
 
 
