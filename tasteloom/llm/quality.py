@@ -413,25 +413,24 @@ def _by_source(good: DataFrame, folder: str) -> DataFrame:
     return saved(_inverted(mixed, ["of_source"]).drop("det"), f"{folder}/estimates")
 
 
-def assessed(docs: DataFrame) -> DataFrame:
-    """``doc_id``, the counts, ``base_failed``, ``distance`` and ``kept``; ``_row`` names the row."""
+def _judged(docs: DataFrame, keep: dict[str, Column]) -> DataFrame:
+    """``keep``, the counts, ``base_failed``, ``distance`` and ``kept`` of every row.
+
+    Rows meet the estimates of their sources, which are written first: if these are few, Spark
+    sends them to the rows, and what ``keep`` carries along is not shuffled.
+    """
     folder = scratch(docs.sparkSession, "quality")
-    keep = {
-        "doc_id": F.col("doc_id"),
-        "lang": F.col("lang"),
-        "source": F.col("source"),
-        "_row": F.xxhash64("text", "lang", "source"),
-    }
-    counted = saved(statistics(docs, keep), f"{folder}/counts")
+    groups = {"lang": F.col("lang"), "source": F.col("source")}
+    counted = saved(statistics(docs, groups | keep), f"{folder}/counts")
     placed = counted.withColumns(_features()).withColumn("of_source", _cells()["of_source"])
     found = _by_source(placed.filter(~F.col("base_failed")), folder)
     parts = _parts(placed, "of_source", f"{folder}/parts-of-source")
     distance = _distance()
-    judged = _dealt(placed, parts, "of_source").join(
-        _copied(found, parts, "of_source"), ["of_source", "_part"], "left"
-    )
+    names = [name for name in found.columns if not name.startswith("c_")]
+    copied = saved(_copied(found.select(*names), parts, "of_source"), f"{folder}/copied")
+    judged = _dealt(placed, parts, "of_source").join(copied, ["of_source", "_part"], "left")
     return judged.select(
-        "doc_id",
+        *keep,
         "n_words",
         "word_chars",
         "n_symbols",
@@ -440,20 +439,18 @@ def assessed(docs: DataFrame) -> DataFrame:
         "base_failed",
         distance.alias("distance"),
         (~F.col("base_failed") & (distance <= CUTOFF)).alias("kept"),
-        "_row",
     )
 
 
+def assessed(docs: DataFrame) -> DataFrame:
+    """``doc_id``, the counts, ``base_failed``, ``distance`` and ``kept``; ``_row`` names the row."""
+    row = {"doc_id": F.col("doc_id"), "_row": F.xxhash64("text", "lang", "source")}
+    judged = _judged(docs, row)
+    return judged.select("doc_id", *(name for name in judged.columns if name not in row), "_row")
+
+
 def kept(docs: DataFrame) -> DataFrame:
     """The documents that pass, with all their columns."""
-    passed = assessed(docs).filter("kept").select(F.col("doc_id").alias("_id"), "_row")
     columns = {f"_c{i}": name for i, name in enumerate(docs.columns)}
-    held = docs.select(
-        *(F.col(f"`{old}`").alias(new) for new, old in columns.items()),
-        F.col("doc_id").alias("_doc"),
-        F.xxhash64("text", "lang", "source").alias("_mine"),
-    )
-    same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_mine") == F.col("_row"))
-    return held.join(passed, same, "left_semi").select(
-        *(F.col(new).alias(old) for new, old in columns.items())
-    )
+    judged = _judged(docs, {new: F.col(f"`{old}`") for new, old in columns.items()})
+    return judged.filter("kept").select(*(F.col(new).alias(old) for new, old in columns.items()))

@@ -460,3 +460,18 @@ def test_clashing_columns_pass_through_the_filters(docs):
     clash = docs.withColumn("_row", F.lit(1)).withColumn("count", F.lit(2)).withColumn("size", F.lit(3))
     for step in (quality.kept, jaccard.one_of_each, mixing.mixed):
         assert step(clash).columns == clash.columns
+
+
+def test_quality_keeps_texts_where_they_are(spark):
+    """Estimates go to the rows: no text is shuffled, and all columns come back."""
+    words = [" ".join(f"w{i * 31 + j * 7}" for j in range(60 + i % 5)) for i in range(40)]
+    data = [(i % 35, text, "en", "a", i) for i, text in enumerate(words)] + [(50, "short", "en", "a", 1)]
+    data += data[:3] + [(None, words[0], None, None, None), (60, None, "en", "a", 2)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, lang string, source string, n_chars int")
+    found = quality.kept(docs)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert found.columns == docs.columns
+    flags = quality.assessed(docs).filter("kept").select("doc_id", "_row").collect()
+    rows_kept = found.select("doc_id", F.xxhash64("text", "lang", "source").alias("_row")).collect()
+    assert sorted(map(str, rows_kept)) == sorted(map(str, flags)) and len(flags) > 30
