@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 BITS = 1 << 24
 
 
-def _slot(column: Column | str) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(BITS))
+def _slot(column: Column | str, size: int = BITS) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(size))
 
 
-def id_filter(ids: DataFrame, column: str):
-    """Broadcast bits of all ids; the driver gets at most BITS / 64 rows."""
-    slot = _slot(column)
+def id_filter(ids: DataFrame, column: str, size: int = BITS):
+    """Broadcast ``size`` bits of all ids; the driver gets at most size / 64 rows."""
+    slot = _slot(column, size)
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(slot, F.lit(64)).cast("int"))
     rows = (
         ids.select(F.floor(slot / 64).cast("int").alias("word"), bit.alias("bit"))
@@ -28,7 +28,7 @@ def id_filter(ids: DataFrame, column: str):
         .agg(F.bit_or("bit").alias("bits"))
         .toArrow()
     )
-    bits = np.zeros(BITS // 64, np.int64)
+    bits = np.zeros(size // 64, np.int64)
     bits[rows["word"].to_numpy()] = rows["bits"].to_numpy()
     return ids.sparkSession.sparkContext.broadcast(bits.view(np.uint64))
 
@@ -50,11 +50,29 @@ def passing(shared, passes: bool = True) -> Callable[[pa.RecordBatch], pa.Record
     return kept
 
 
-def rows_passing(docs: DataFrame, column: str, shared) -> DataFrame:
-    """The rows whose id may be in the filter, before a shuffle."""
-    keep = passing(shared)
+def rows_passing(docs: DataFrame, column: str, shared, passes: bool = True) -> DataFrame:
+    """The rows whose id may be in the filter, or surely is not, before a shuffle."""
+    keep = passing(shared, passes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return map(keep, batches)
 
-    return with_slot(docs, column).mapInArrow(run, docs.schema)
+    slotted = docs.withColumn("_slot", _slot(column, shared.value.size * 64))
+    return slotted.mapInArrow(run, docs.schema)
+
+
+def rows_passing_any(docs: DataFrame, columns: list[str], shared) -> DataFrame:
+    """The rows of which one id at least may be in the filter."""
+    size = shared.value.size * 64
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            inside = np.zeros(batch.num_rows, bool)
+            for column in batch.columns[-len(columns) :]:
+                slot = column.to_numpy()
+                inside |= shared.value[slot >> 6] >> (slot & 63).astype(np.uint64) & np.uint64(1) == 1
+            own = batch.columns[: -len(columns)]
+            yield pa.record_batch(own, batch.schema.names[: len(own)]).filter(pa.array(inside))
+
+    slots = [_slot(column, size).alias(f"_slot{i}") for i, column in enumerate(columns)]
+    return docs.select("*", *slots).mapInArrow(run, docs.schema)

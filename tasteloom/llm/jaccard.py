@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from tasteloom.llm import words as W
 from tasteloom.llm.base import arrow_map, saved, scratch, slices
 from tasteloom.llm.components import components
-from tasteloom.llm.ids import id_filter, passing, with_slot
+from tasteloom.llm.ids import id_filter, passing, rows_passing, rows_passing_any, with_slot
 
 N = 3
 #: The threshold is PERCENT / 100.
@@ -57,8 +57,12 @@ SKETCH_BITS = 1024
 #: Grams before its own that a list entry knows of, so that a pair is emitted once. A pair whose
 #: first common grams lie behind them comes out more than once and is made distinct.
 EARLIER = 8
-#: Rounds in which classes are compared with leaders before pairs are looked for.
+#: Bits of the filters of grams that several classes have: 16 MB, whatever their number.
+GRAM_BITS = 1 << 27
+#: Rounds in which classes are compared with leaders before pairs are looked for. All but the first
+#: are for lists of more than LONG_LIST classes: no entry of a shorter one makes that many pairs.
 LEADER_ROUNDS = 4
+LONG_LIST = 16
 
 
 def _grams(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -222,9 +226,14 @@ def _needed(x: str, y: str, percent: int) -> Column:
 
 
 def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``x, y`` whose sizes and bitmaps allow the threshold, with ``nx, ny``."""
+    """Pairs ``x, y`` whose sizes and bitmaps allow the threshold, with ``nx, ny``.
+
+    The pairs are read twice: only the bitmaps of classes that may be in one are moved.
+    """
+    ends = pairs.select(F.col("x").alias("cid")).union(pairs.select("y"))
+    some = rows_passing(classes, "cid", id_filter(ends, "cid"))
     for side in ("x", "y"):
-        known = classes.select(
+        known = some.select(
             F.col("cid").alias(side), F.col("n").alias(f"n{side}"), F.col("map").alias(f"m{side}")
         )
         pairs = pairs.join(known, side)
@@ -318,15 +327,55 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order, n: i
     return saved(linked.select(F.col("x").alias("a"), F.col("y").alias("b")), folder)
 
 
+def _band(percent: int, slack: float = 1.0) -> Column:
+    """Number of the band of sizes in which ``n`` lies; within one, sizes may be similar enough."""
+    return F.floor(F.log(F.col("n").cast("double")) / -float(np.log(percent / 100) * slack))
+
+
+def distinct_classes(signed: DataFrame, folder: str) -> DataFrame:
+    """``cid, rep, n, prefix, map, sketch``; only rows whose set may repeat are moved."""
+    held = signed.filter("n_shingles > 0").select(
+        "cid", F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "prefix", "map", "sketch"
+    )
+    repeated = held.groupBy("cid").agg(F.count("*").alias("c")).filter("c > 1").select("cid")
+    bits = id_filter(repeated, "cid")
+    same = [F.first(c).alias(c) for c in ("n", "prefix", "map", "sketch")]
+    merged = rows_passing(held, "cid", bits).groupBy("cid").agg(F.min("rep").alias("rep"), *same)
+    return saved(rows_passing(held, "cid", bits, passes=False).unionByName(merged), folder)
+
+
+def gram_lists(classes: DataFrame, percent: int, folder: str) -> DataFrame:
+    """``gram, cid, n, pos`` of the prefix grams that may link a class to another one.
+
+    That is, another class of similar size has the gram in its prefix too: sizes that reach the
+    threshold lie in the same band or in neighbouring ones, so each entry counts for its own
+    band and the next. The filters let too much through, never too little: 40 bits of a
+    gram stand for it, and lists that lie within one class link nothing.
+    """
+    entries = classes.select("cid", "n", F.posexplode("prefix").alias("pos", "gram"))
+    low = F.col("gram").bitwiseAND(F.lit((1 << 40) - 1)).alias("low")
+    counts = entries.select(low).groupBy("low").agg(F.count("*").alias("c"))
+    bits = id_filter(counts.filter("c > 1"), "low", GRAM_BITS)
+    shared = rows_passing(entries.select("cid", "n", "pos", "gram", low), "low", bits).drop("low")
+    shared = saved(shared, f"{folder}/shared")
+    # A little wider than exact bands: rounding must not put similar sizes two bands apart.
+    band = _band(percent, 1.000001)
+    keyed = shared.select(
+        "gram", "cid", "n", "pos", F.xxhash64("gram", band).alias("own"), F.xxhash64("gram", band + 1).alias("next")
+    )
+    keys = keyed.select(F.explode(F.array("own", "next")).alias("key"))
+    similar = keys.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
+    lists = rows_passing_any(keyed, ["own", "next"], id_filter(similar, "key", GRAM_BITS))
+    return saved(lists.drop("own", "next"), f"{folder}/lists")
+
+
 def _leaders(named: DataFrame, step: int, percent: int) -> DataFrame:
     """``x, y``: every class and the leader with which it shares most prefix grams.
 
     A gram has one leader for each band of sizes, another one in each step; sizes within a
     band differ by less than the threshold allows. Leaders of the same component are left out.
     """
-    banded = named.withColumn(
-        "band", F.floor(F.log(F.col("n").cast("double")) / -float(np.log(percent / 100)))
-    )
+    banded = named.withColumn("band", _band(percent))
     first = F.min_by(F.struct("cid", "root"), F.xxhash64(F.lit(step), F.col("cid"))).alias("lead")
     leaders = banded.groupBy("gram", "band").agg(first, F.count("*").alias("c")).filter("c > 1")
     led = banded.join(
@@ -341,6 +390,19 @@ def _leaders(named: DataFrame, step: int, percent: int) -> DataFrame:
     )
 
 
+def _rooted(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """The lists with the ``root`` of the component of each class."""
+    return lists.join(roots.withColumnRenamed("id", "cid"), "cid", "left").select(
+        "gram", "cid", "n", "pos", F.coalesce("root", "cid").alias("root")
+    )
+
+
+def _across(named: DataFrame) -> DataFrame:
+    """``gram, c``: the lists that span components, and their lengths."""
+    spans = named.groupBy("gram").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("c"))
+    return spans.filter("a <> b").select("gram", "c")
+
+
 def _with_earlier(entries: DataFrame, sketches: DataFrame) -> DataFrame:
     """List entries with the sketch of their class and its first grams before theirs."""
     in_order = F.sort_array(F.collect_list(F.struct("pos", "gram")))
@@ -364,23 +426,14 @@ def classes_and_links(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tu
     order = spark.sparkContext.broadcast(global_order(docs, n))
     signed = saved(_signatures(docs, order, n, percent), f"{folder}/signatures")
     rows = signed.select("doc_id", "row", "n_shingles", "cid")
-    same = [F.first(c).alias(c) for c in ("prefix", "map", "sketch")]
-    classes = saved(
-        signed.filter("n_shingles > 0")
-        .groupBy("cid")
-        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), *same),
-        f"{folder}/classes",
-    )
+    classes = distinct_classes(signed, f"{folder}/classes")
     facts = classes.select("cid", "rep", "n", "map")
-    entries = classes.select("cid", "n", F.posexplode("prefix").alias("pos", "gram"))
-    # Lists of one class link nothing.
-    shared = entries.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1").select("gram")
-    lists = saved(entries.join(shared, "gram", "left_semi"), f"{folder}/lists")
+    lists = gram_lists(classes, percent, folder)
 
     roots, found = None, []
-    named = lists.withColumn("root", F.col("cid"))
+    led, named = lists, lists.withColumn("root", F.col("cid"))
     for step in range(LEADER_ROUNDS):
-        best = _leaders(named, step, percent)
+        best = saved(_leaders(named, step, percent), f"{folder}/best{step}")
         near = saved(_near(best, facts, percent), f"{folder}/near{step}")
         if not near.take(1):
             break
@@ -389,14 +442,12 @@ def classes_and_links(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tu
         for more in found[1:]:
             links = links.unionByName(more)
         roots = components(links, f"{folder}/components{step}")
-        named = saved(
-            lists.join(roots.withColumnRenamed("id", "cid"), "cid", "left").select(
-                "gram", "cid", "n", "pos", F.coalesce("root", "cid").alias("root")
-            ),
-            f"{folder}/named{step}",
-        )
-    open_ = named.groupBy("gram").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b")
-    across = named.join(open_.select("gram"), "gram", "left_semi")
+        if step == 0:
+            long = _across(_rooted(lists, roots)).filter(F.col("c") > LONG_LIST)
+            led = saved(rows_passing(lists, "gram", id_filter(long, "gram", GRAM_BITS)), f"{folder}/long")
+        named = saved(_rooted(led, roots), f"{folder}/named{step}")
+    named = saved(_rooted(lists, roots), f"{folder}/named") if roots else named
+    across = rows_passing(named, "gram", id_filter(_across(named), "gram", GRAM_BITS))
     across = saved(_with_earlier(across, classes.select("cid", "sketch")), f"{folder}/across")
     # The smaller set is found by a shorter prefix.
     index = F.col("nx") - F.ceil(F.col("nx") * (2 * percent) / (100 + percent)) + 1
@@ -419,7 +470,7 @@ def classes_and_links(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tu
         .select(F.col("cx").alias("x"), F.col("cy").alias("y"))
         .distinct()
     )
-    last = saved(_near(pairs, facts, percent), f"{folder}/near")
+    last = saved(_near(saved(pairs, f"{folder}/pairs"), facts, percent), f"{folder}/near")
     links = _verified(last, docs, facts, order, n, percent, f"{folder}/links")
     for more in found:
         links = links.unionByName(more)
@@ -447,21 +498,34 @@ def groups(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """One document of each group, with all its columns: the one with the smallest id."""
+    """One document of each group, with all its columns: the one with the smallest id.
+
+    Only texts that may have to go, or whose row may be there twice, are moved.
+    """
     found = saved(groups(docs, n, percent), f"{scratch(docs.sparkSession, 'kept')}/groups")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("r")
-    kept = found.filter(F.col("group").isNotNull()).groupBy("group").agg(first).select(
-        F.col("r.doc_id").alias("_id"), F.col("r.row").alias("_row")
-    )
+    grouped = found.filter(F.col("group").isNotNull())
+    best = grouped.groupBy(F.col("group").alias("_group")).agg(first)
+    kept = best.select(F.col("r.doc_id").alias("_id"), F.col("r.row").alias("_row"))
+    rows = grouped.groupBy("group", "doc_id", "row").agg(F.count("*").alias("c"))
+    is_best = F.col("doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("row") == F.col("r.row"))
+    unsure = rows.join(best, F.col("group") == F.col("_group")).filter((F.col("c") > 1) | ~is_best)
+    bits = id_filter(unsure.select(F.xxhash64("doc_id", "row").alias("key")), "key")
     columns = {f"_c{i}": name for i, name in enumerate(docs.columns)}
     held = docs.select(
         *(F.col(f"`{old}`").alias(new) for new, old in columns.items()),
-        F.col("doc_id").alias("_doc"),
+        F.col("doc_id").cast("bigint").alias("_doc"),
         F.xxhash64("text").alias("_mine"),
-        (F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)) == 0).alias("_empty"),
+        F.xxhash64(F.col("doc_id").cast("bigint"), F.xxhash64("text")).alias("_key"),
     )
+    text = f"_c{docs.columns.index('text')}"
+    empty = F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)) == 0
+    moved = rows_passing(held, "_key", bits).withColumn("_empty", empty)
     same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_mine") == F.col("_row"))
-    some = held.filter(~F.col("_empty")).join(kept, same, "left_semi").dropDuplicates(["_doc", "_mine"])
-    return some.unionByName(held.filter("_empty")).select(
-        *(F.col(new).alias(old) for new, old in columns.items())
+    some = moved.filter(~F.col("_empty")).join(kept, same, "left_semi").dropDuplicates(["_doc", "_mine"])
+    own = [F.col(new).alias(old) for new, old in columns.items()]
+    return (
+        rows_passing(held, "_key", bits, passes=False).select(*own)
+        .unionByName(some.select(*own))
+        .unionByName(moved.filter("_empty").select(*own))
     )

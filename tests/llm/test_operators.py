@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tasteloom.llm import (
     decontaminate,
     html,
+    ids,
     jaccard,
     licenses,
     linededup,
@@ -361,6 +362,39 @@ def test_jaccard_in_a_group_of_near_copies(spark):
     assert found == {a: find(a) for a in range(150)}
 
 
+def test_gram_lists_hold_what_classes_of_similar_size_share(spark, tmp_path):
+    # (cid, n, prefix): at 90 percent 9 and 10 may link, 10 and 12 may not.
+    classes = [(1, 10, [5, 6, 7]), (2, 9, [8, 6]), (3, 12, [5, 9]), (4, 100, [9, 10]), (5, 90, [11, 10, 7])]
+    table = spark.createDataFrame(classes, "cid long, n long, prefix array<long>")
+    found = jaccard.gram_lists(table, 90, str(tmp_path / "lists")).select("gram", "cid", "pos")
+    assert rows(found) == Counter([(6, 1, 1), (6, 2, 1), (10, 4, 1), (10, 5, 1)])
+
+
+def test_only_repeated_sets_are_moved(spark, tmp_path):
+    signed = [(i, i, 3, i // 2 if i < 4 else i, [i], b"m", [1]) for i in range(9)]
+    schema = "doc_id long, row long, n_shingles long, cid long, prefix array<long>, map binary, sketch array<long>"
+    found = jaccard.distinct_classes(spark.createDataFrame(signed, schema), str(tmp_path / "classes"))
+    assert rows(found.select("cid", "rep", "n")) == Counter([(0, 0, 3), (1, 2, 3), *((i, i, 3) for i in range(4, 9))])
+
+
+def test_one_of_each_moves_no_text_that_surely_stays(spark, monkeypatch):
+    texts = ["a b c d", "a b c d", "e f g h", "i j k l", "", None]
+    table = spark.createDataFrame([*enumerate(texts), (2, "e f g h")], "doc_id long, text string")
+    kept = jaccard.one_of_each(table)
+    assert rows(kept) == Counter([(0, "a b c d"), (2, "e f g h"), (3, "i j k l"), (4, ""), (5, None)])
+    moved = []
+
+    def watched(docs, column, shared, passes=True):
+        out = ids.rows_passing(docs, column, shared, passes)
+        if column == "_key" and passes:
+            moved.append(out)
+        return out
+
+    monkeypatch.setattr(jaccard, "rows_passing", watched)
+    jaccard.one_of_each(table)
+    assert Counter(r["_c0"] for r in moved[0].collect()) == Counter([1, 2, 2])
+
+
 def test_substring_dedup(docs, empty):
     words = [(i, spaced(t)) for i, t in TEXTS]
     first: dict = {}
