@@ -190,7 +190,7 @@ def sketch_distance(x: str, y: str) -> Column:
 
 
 def _signatures(docs: DataFrame, order, n: int, percent: int) -> DataFrame:
-    """``doc_id, row, n_shingles, cid, prefix, map, sketch`` of every row."""
+    """``doc_id, row, n_shingles, cid, prefix, map`` of every row."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         sizes, cids, prefixes, maps = [], [], [], []
@@ -209,13 +209,11 @@ def _signatures(docs: DataFrame, order, n: int, percent: int) -> DataFrame:
                 pa.array(cids, pa.int64()),
                 pa.ListArray.from_arrays(pa.array(limits), pa.array(flat, pa.int64())),
                 pa.array(maps, pa.binary()),
-                pa.array([sketch(m) for m in maps], pa.list_(pa.int64())),
             ],
-            ["doc_id", "row", "n_shingles", "cid", "prefix", "map", "sketch"],
+            ["doc_id", "row", "n_shingles", "cid", "prefix", "map"],
         )
 
-    schema = "doc_id bigint, row bigint, n_shingles bigint, cid bigint, prefix array<bigint>, "
-    schema += "map binary, sketch array<bigint>"
+    schema = "doc_id bigint, row bigint, n_shingles bigint, cid bigint, prefix array<bigint>, map binary"
     return arrow_map(docs.select("doc_id", F.xxhash64("text").alias("row"), "text"), step, schema)
 
 
@@ -332,25 +330,52 @@ def _band(percent: int, slack: float = 1.0) -> Column:
     return F.floor(F.log(F.col("n").cast("double")) / -float(np.log(percent / 100) * slack))
 
 
-def distinct_classes(signed: DataFrame, folder: str) -> DataFrame:
-    """``cid, rep, n, prefix, map, sketch``; only rows whose set may repeat are moved."""
+def distinct_classes(signed: DataFrame) -> DataFrame:
+    """``cid, rep, n, prefix, map``; only rows whose set may repeat are moved."""
     held = signed.filter("n_shingles > 0").select(
-        "cid", F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "prefix", "map", "sketch"
+        "cid", F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "prefix", "map"
     )
     repeated = held.groupBy("cid").agg(F.count("*").alias("c")).filter("c > 1").select("cid")
     bits = id_filter(repeated, "cid")
-    same = [F.first(c).alias(c) for c in ("n", "prefix", "map", "sketch")]
+    same = [F.first(c).alias(c) for c in ("n", "prefix", "map")]
     merged = rows_passing(held, "cid", bits).groupBy("cid").agg(F.min("rep").alias("rep"), *same)
-    return saved(rows_passing(held, "cid", bits, passes=False).unionByName(merged), folder)
+    return rows_passing(held, "cid", bits, passes=False).unionByName(merged)
+
+
+def _sketches(facts: DataFrame) -> DataFrame:
+    """``cid, sketch`` of every class."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            folded = pa.array([sketch(m) for m in batch.column(1).to_pylist()], pa.list_(pa.int64()))
+            yield pa.record_batch([batch.column(0), folded], ["cid", "sketch"])
+
+    return facts.select("cid", "map").mapInArrow(step, "cid bigint, sketch array<bigint>")
+
+
+def _indexed(n: str, pos: str, percent: int) -> Column:
+    """Whether the smaller set of a similar pair is sure to share a gram at such a place."""
+    needed = F.ceil(F.col(n) * (2 * percent) / (100 + percent))
+    return F.col(pos) < F.col(n) - needed + 1
+
+
+def _keyed(entries: DataFrame, percent: int) -> DataFrame:
+    """The list entries with two keys: entries of one gram that may link have one in common.
+
+    Sizes that reach the threshold lie in the same band or in neighbouring ones, so each entry
+    stands under its own band and the next.
+    """
+    # A little wider than exact bands: rounding must not put similar sizes two bands apart.
+    band = _band(percent, 1.000001)
+    return entries.select("*", F.xxhash64("gram", band).alias("own"), F.xxhash64("gram", band + 1).alias("next"))
 
 
 def gram_lists(classes: DataFrame, percent: int, folder: str) -> DataFrame:
     """``gram, cid, n, pos`` of the prefix grams that may link a class to another one.
 
-    That is, another class of similar size has the gram in its prefix too: sizes that reach the
-    threshold lie in the same band or in neighbouring ones, so each entry counts for its own
-    band and the next. The filters let too much through, never too little: 40 bits of a
-    gram stand for it, and lists that lie within one class link nothing.
+    That is, another class of similar size has the gram in its prefix too, and one of them at a
+    place by which the smaller set is found. The filters let too much through, never too little:
+    40 bits of a gram stand for it, and lists that lie within one class link nothing.
     """
     entries = classes.select("cid", "n", F.posexplode("prefix").alias("pos", "gram"))
     low = F.col("gram").bitwiseAND(F.lit((1 << 40) - 1)).alias("low")
@@ -358,14 +383,11 @@ def gram_lists(classes: DataFrame, percent: int, folder: str) -> DataFrame:
     bits = id_filter(counts.filter("c > 1"), "low", GRAM_BITS)
     shared = rows_passing(entries.select("cid", "n", "pos", "gram", low), "low", bits).drop("low")
     shared = saved(shared, f"{folder}/shared")
-    # A little wider than exact bands: rounding must not put similar sizes two bands apart.
-    band = _band(percent, 1.000001)
-    keyed = shared.select(
-        "gram", "cid", "n", "pos", F.xxhash64("gram", band).alias("own"), F.xxhash64("gram", band + 1).alias("next")
-    )
-    keys = keyed.select(F.explode(F.array("own", "next")).alias("key"))
-    similar = keys.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
-    lists = rows_passing_any(keyed, ["own", "next"], id_filter(similar, "key", GRAM_BITS))
+    at = _indexed("n", "pos", percent).alias("at")
+    keys = _keyed(shared, percent).select(at, F.explode(F.array("own", "next")).alias("key"))
+    similar = keys.groupBy("key").agg(F.count("*").alias("c"), F.max("at").alias("at")).filter("c > 1 and at")
+    bits = id_filter(similar, "key", GRAM_BITS)
+    lists = rows_passing_any(_keyed(shared, percent), ["own", "next"], bits)
     return saved(lists.drop("own", "next"), f"{folder}/lists")
 
 
@@ -426,8 +448,8 @@ def classes_and_links(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tu
     order = spark.sparkContext.broadcast(global_order(docs, n))
     signed = saved(_signatures(docs, order, n, percent), f"{folder}/signatures")
     rows = signed.select("doc_id", "row", "n_shingles", "cid")
-    classes = distinct_classes(signed, f"{folder}/classes")
-    facts = classes.select("cid", "rep", "n", "map")
+    classes = distinct_classes(signed)
+    facts = saved(classes.select("cid", "rep", "n", "map"), f"{folder}/classes")
     lists = gram_lists(classes, percent, folder)
 
     roots, found = None, []
@@ -448,16 +470,15 @@ def classes_and_links(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tu
         named = saved(_rooted(led, roots), f"{folder}/named{step}")
     named = saved(_rooted(lists, roots), f"{folder}/named") if roots else named
     across = rows_passing(named, "gram", id_filter(_across(named), "gram", GRAM_BITS))
-    across = saved(_with_earlier(across, classes.select("cid", "sketch")), f"{folder}/across")
+    across = saved(_with_earlier(across, _sketches(facts)), f"{folder}/across")
     # The smaller set is found by a shorter prefix.
-    index = F.col("nx") - F.ceil(F.col("nx") * (2 * percent) / (100 + percent)) + 1
     sides = {"cid": "c", "n": "n", "pos": "p", "root": "r", "sketch": "s", "earlier": "e"}
     x = across.select("gram", *(F.col(c).alias(f"{a}x") for c, a in sides.items()))
     y = across.select("gram", *(F.col(c).alias(f"{a}y") for c, a in sides.items()))
     need = _needed("nx", "ny", percent)
     room = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py"))
     pairs = (
-        x.filter(F.col("px") < index)
+        x.filter(_indexed("nx", "px", percent))
         .join(y, "gram")
         .filter(
             (F.col("rx") != F.col("ry"))
