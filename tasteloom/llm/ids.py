@@ -76,3 +76,20 @@ def rows_passing_any(docs: DataFrame, columns: list[str], shared) -> DataFrame:
 
     slots = [_slot(column, size).alias(f"_slot{i}") for i, column in enumerate(columns)]
     return docs.select("*", *slots).mapInArrow(run, docs.schema)
+
+
+def rows_passing_all(docs: DataFrame, tests: list[tuple]) -> DataFrame:
+    """The rows that meet every ``(column, filter, passes)``, in one pass through Python."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = np.ones(batch.num_rows, bool)
+            for column, (_, shared, passes) in zip(batch.columns[-len(tests) :], tests, strict=True):
+                slot = column.to_numpy()
+                bit = shared.value[slot >> 6] >> (slot & 63).astype(np.uint64) & np.uint64(1)
+                kept &= bit == int(passes)
+            own = batch.columns[: -len(tests)]
+            yield pa.record_batch(own, batch.schema.names[: len(own)]).filter(pa.array(kept))
+
+    slots = [_slot(column, shared.value.size * 64).alias(f"_slot{i}") for i, (column, shared, _) in enumerate(tests)]
+    return docs.select("*", *slots).mapInArrow(run, docs.schema)

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from tasteloom.llm import words as W
 from tasteloom.llm.base import arrow_map, saved, scratch, slices
 from tasteloom.llm.components import components
-from tasteloom.llm.ids import id_filter, passing, rows_passing, rows_passing_any, with_slot
+from tasteloom.llm.ids import id_filter, passing, rows_passing, rows_passing_all, rows_passing_any, with_slot
 
 N = 3
 #: The threshold is PERCENT / 100.
@@ -57,8 +57,8 @@ SKETCH_BITS = 1024
 #: Grams before its own that a list entry knows of, so that a pair is emitted once. A pair whose
 #: first common grams lie behind them comes out more than once and is made distinct.
 EARLIER = 8
-#: Bits of the filters of grams that several classes have: 16 MB, whatever their number.
-GRAM_BITS = 1 << 27
+#: Bits of the filters of grams that several classes have: 4 MB, whatever their number.
+GRAM_BITS = 1 << 25
 #: Rounds in which classes are compared with leaders before pairs are looked for. All but the first
 #: are for lists of more than LONG_LIST classes: no entry of a shorter one makes that many pairs.
 LEADER_ROUNDS = 4
@@ -223,13 +223,13 @@ def _needed(x: str, y: str, percent: int) -> Column:
     return F.ceil(total / (100 + percent))
 
 
-def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _near(pairs: DataFrame, classes: DataFrame, percent: int, folder: str) -> DataFrame:
     """Pairs ``x, y`` whose sizes and bitmaps allow the threshold, with ``nx, ny``.
 
     The pairs are read twice: only the bitmaps of classes that may be in one are moved.
     """
     ends = pairs.select(F.col("x").alias("cid")).union(pairs.select("y"))
-    some = rows_passing(classes, "cid", id_filter(ends, "cid"))
+    some = saved(rows_passing(classes, "cid", id_filter(ends, "cid")), folder)
     for side in ("x", "y"):
         known = some.select(
             F.col("cid").alias(side), F.col("n").alias(f"n{side}"), F.col("map").alias(f"m{side}")
@@ -330,8 +330,11 @@ def _band(percent: int, slack: float = 1.0) -> Column:
     return F.floor(F.log(F.col("n").cast("double")) / -float(np.log(percent / 100) * slack))
 
 
-def distinct_classes(signed: DataFrame) -> DataFrame:
-    """``cid, rep, n, prefix, map``; only rows whose set may repeat are moved."""
+def distinct_classes(signed: DataFrame, folder: str) -> tuple[DataFrame, object, DataFrame]:
+    """Rows ``cid, rep, n, prefix, map``, a filter, and one row of each class that it lets pass.
+
+    The classes are these and the rows that surely do not pass; only rows whose set may repeat are moved.
+    """
     held = signed.filter("n_shingles > 0").select(
         "cid", F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "prefix", "map"
     )
@@ -339,7 +342,7 @@ def distinct_classes(signed: DataFrame) -> DataFrame:
     bits = id_filter(repeated, "cid")
     same = [F.first(c).alias(c) for c in ("n", "prefix", "map")]
     merged = rows_passing(held, "cid", bits).groupBy("cid").agg(F.min("rep").alias("rep"), *same)
-    return rows_passing(held, "cid", bits, passes=False).unionByName(merged)
+    return held, bits, saved(merged.select(held.columns), folder)
 
 
 def _sketches(facts: DataFrame) -> DataFrame:
@@ -370,18 +373,24 @@ def _keyed(entries: DataFrame, percent: int) -> DataFrame:
     return entries.select("*", F.xxhash64("gram", band).alias("own"), F.xxhash64("gram", band + 1).alias("next"))
 
 
-def gram_lists(classes: DataFrame, percent: int, folder: str) -> DataFrame:
+def gram_lists(held: DataFrame, repeated, merged: DataFrame, percent: int, folder: str) -> DataFrame:
     """``gram, cid, n, pos`` of the prefix grams that may link a class to another one.
 
     That is, another class of similar size has the gram in its prefix too, and one of them at a
     place by which the smaller set is found. The filters let too much through, never too little:
     40 bits of a gram stand for it, and lists that lie within one class link nothing.
     """
-    entries = classes.select("cid", "n", F.posexplode("prefix").alias("pos", "gram"))
     low = F.col("gram").bitwiseAND(F.lit((1 << 40) - 1)).alias("low")
-    counts = entries.select(low).groupBy("low").agg(F.count("*").alias("c"))
+
+    def entries(rows: DataFrame) -> DataFrame:
+        listed = rows.select("cid", "n", F.posexplode("prefix").alias("pos", "gram"))
+        return listed.select("cid", "n", "pos", "gram", low)
+
+    once = rows_passing(held.select("cid", "n", "prefix"), "cid", repeated, passes=False)
+    counts = entries(once).unionByName(entries(merged)).groupBy("low").agg(F.count("*").alias("c"))
     bits = id_filter(counts.filter("c > 1"), "low", GRAM_BITS)
-    shared = rows_passing(entries.select("cid", "n", "pos", "gram", low), "low", bits).drop("low")
+    shared = rows_passing_all(entries(held), [("cid", repeated, False), ("low", bits, True)])
+    shared = shared.unionByName(rows_passing(entries(merged), "low", bits)).drop("low")
     shared = saved(shared, f"{folder}/shared")
     at = _indexed("n", "pos", percent).alias("at")
     keys = _keyed(shared, percent).select(at, F.explode(F.array("own", "next")).alias("key"))
@@ -448,15 +457,16 @@ def classes_and_links(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tu
     order = spark.sparkContext.broadcast(global_order(docs, n))
     signed = saved(_signatures(docs, order, n, percent), f"{folder}/signatures")
     rows = signed.select("doc_id", "row", "n_shingles", "cid")
-    classes = distinct_classes(signed)
-    facts = saved(classes.select("cid", "rep", "n", "map"), f"{folder}/classes")
-    lists = gram_lists(classes, percent, folder)
+    held, repeated, merged = distinct_classes(signed, f"{folder}/merged")
+    known = rows_passing(held.drop("prefix"), "cid", repeated, passes=False).unionByName(merged.drop("prefix"))
+    facts = saved(known, f"{folder}/classes")
+    lists = gram_lists(held, repeated, merged, percent, folder)
 
     roots, found = None, []
     led, named = lists, lists.withColumn("root", F.col("cid"))
     for step in range(LEADER_ROUNDS):
         best = saved(_leaders(named, step, percent), f"{folder}/best{step}")
-        near = saved(_near(best, facts, percent), f"{folder}/near{step}")
+        near = saved(_near(best, facts, percent, f"{folder}/maps{step}"), f"{folder}/near{step}")
         if not near.take(1):
             break
         found.append(_verified(near, docs, facts, order, n, percent, f"{folder}/links{step}"))
@@ -491,7 +501,8 @@ def classes_and_links(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tu
         .select(F.col("cx").alias("x"), F.col("cy").alias("y"))
         .distinct()
     )
-    last = saved(_near(saved(pairs, f"{folder}/pairs"), facts, percent), f"{folder}/near")
+    pairs = saved(pairs, f"{folder}/pairs")
+    last = saved(_near(pairs, facts, percent, f"{folder}/maps"), f"{folder}/near")
     links = _verified(last, docs, facts, order, n, percent, f"{folder}/links")
     for more in found:
         links = links.unionByName(more)

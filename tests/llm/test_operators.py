@@ -368,15 +368,19 @@ def test_gram_lists_hold_what_classes_of_similar_size_share(spark, tmp_path):
     classes = [(1, 10, [6, 5]), (2, 9, [8, 6]), (3, 20, [5, 9])]
     classes += [(4, 100, [9, 10, 1, 2, 3, 4, 12]), (5, 90, [11, 10, 24, 27, 28, 12])]
     table = spark.createDataFrame(classes, "cid long, n long, prefix array<long>")
-    found = jaccard.gram_lists(table, 90, str(tmp_path / "lists")).select("gram", "cid", "pos")
+    none = ids.id_filter(table.limit(0), "cid")
+    lists = jaccard.gram_lists(table, none, table.limit(0), 90, str(tmp_path / "lists"))
+    found = lists.select("gram", "cid", "pos")
     assert rows(found) == Counter([(6, 1, 0), (6, 2, 1), (10, 4, 1), (10, 5, 1)])
 
 
-def test_repeated_sets_are_one_class(spark):
+def test_repeated_sets_are_one_class(spark, tmp_path):
     signed = [(i, i, 3, i // 2 if i < 4 else i, [i], b"m") for i in range(9)]
     schema = "doc_id long, row long, n_shingles long, cid long, prefix array<long>, map binary"
-    found = jaccard.distinct_classes(spark.createDataFrame(signed, schema))
-    assert rows(found.select("cid", "rep", "n")) == Counter([(0, 0, 3), (1, 2, 3), *((i, i, 3) for i in range(4, 9))])
+    held, bits, merged = jaccard.distinct_classes(spark.createDataFrame(signed, schema), str(tmp_path / "merged"))
+    assert rows(merged.select("cid", "rep", "n")) == Counter([(0, 0, 3), (1, 2, 3)])
+    once = ids.rows_passing_all(held, [("cid", bits, False)])
+    assert rows(once.select("cid", "rep", "n")) == Counter([(i, i, 3) for i in range(4, 9)])
 
 
 def test_one_of_each_moves_no_text_that_surely_stays(spark, monkeypatch):
